@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import FEEDS, Lookups, Tables
 from . import gold, oracle, silver
+from .materialize import materialized
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,7 @@ class Ctx:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
+        self.sf_dir = sf_dir
         self.t = Tables(spark, sf_dir)
         self.lk = Lookups(spark, self.t)
 
@@ -36,16 +38,19 @@ class Ctx:
         spec = silver.spec_for(name, initial)
         return silver.run(spec, self.feed(spec.feed), self.lk, initial=initial)
 
-    # silver tables as the marts read them
-    def items(self): return self.silver("silver_mm_zimmpurgdocitem")
-    def headers(self): return self.silver("silver_mm_zmmpurchasingdoc")
-    def history(self): return self.silver("silver_mm_zimmpurdochist")
-    def pricing(self): return self.silver("silver_mm_zipricingelement")
-    def schedule(self): return self.silver("silver_mm_zimmprgdocsl")
-    def pr_items(self): return self.silver("silver_mm_zipritem")
-    def pr_approvals(self): return self.silver("silver_mm_ziprapprov")
-    def po_approvals(self): return self.silver("silver_mm_zipoapprov")
-    def info(self): return self.silver("silver_mm_ziinforecorgdata")
+    def table(self, name: str) -> DataFrame:
+        """Silver table as the marts read it: written once, then scanned."""
+        return materialized(self.spark, lambda: self.silver(name), self.sf_dir, name)
+
+    def items(self): return self.table("silver_mm_zimmpurgdocitem")
+    def headers(self): return self.table("silver_mm_zmmpurchasingdoc")
+    def history(self): return self.table("silver_mm_zimmpurdochist")
+    def pricing(self): return self.table("silver_mm_zipricingelement")
+    def schedule(self): return self.table("silver_mm_zimmprgdocsl")
+    def pr_items(self): return self.table("silver_mm_zipritem")
+    def pr_approvals(self): return self.table("silver_mm_ziprapprov")
+    def po_approvals(self): return self.table("silver_mm_zipoapprov")
+    def info(self): return self.table("silver_mm_ziinforecorgdata")
 
 
 def _no_audit(df: DataFrame) -> DataFrame:

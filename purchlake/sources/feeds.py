@@ -351,8 +351,13 @@ def user(t: Tables) -> DataFrame:
 
 
 def unit_of_measure(spark: SparkSession) -> DataFrame:
-    """Internal -> external unit codes (fixed master data; BOX has no entry)."""
-    return spark.createDataFrame(UNIT_CODES, "unitofmeasure string, unitofmeasure_e string")
+    """Internal -> external unit codes (fixed master data; BOX has no entry).
+
+    Built as an inline VALUES relation: unlike an RDD-backed frame it carries
+    size statistics, so the planner sees it is tiny and broadcasts it instead
+    of shuffling the item rows by a unit code with a handful of values."""
+    rows = ", ".join(f"('{a}', '{b}')" for a, b in UNIT_CODES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(unitofmeasure, unitofmeasure_e)")
 
 
 FEEDS = {

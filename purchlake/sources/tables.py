@@ -7,14 +7,33 @@ from pyspark.sql import DataFrame, SparkSession
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Fact tables whose rows feed per-row projections and windows.
+FACT_TABLES = {"lineitem", "orders", "events"}
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the scan when it yields fewer partitions than the cluster
+    can run at once.
+
+    Spark splits parquet by row group; a file written as one big row group
+    becomes one busy task however many cores there are.  Large inputs have
+    far more splits than cores, so there this is a no-op and adds no
+    shuffle; it only fires for under-split inputs."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; later projections and filters are pushed into it."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return balanced(df) if name in FACT_TABLES else df
 
 
 class Tables:
@@ -23,8 +42,11 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
-            return read(self.spark, self.sf_dir, name)
+            if name not in self._cache:
+                self._cache[name] = read(self.spark, self.sf_dir, name)
+            return self._cache[name]
         raise AttributeError(name)
