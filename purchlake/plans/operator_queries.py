@@ -564,7 +564,7 @@ def date_diff_days_q(spark, sf):
   CAST(CAST(l_extendedprice AS DECIMAL(18,3)) - CAST(l_quantity AS DECIMAL(18,3)) AS DECIMAL(19,3)) AS diff,
   CAST(CAST(l_extendedprice AS DECIMAL(38,3)) * CAST(l_quantity AS DECIMAL(18,3)) AS DECIMAL(37,6)) AS product,
   -CAST(l_extendedprice AS DECIMAL(18,3)) AS negated,
-  CAST(CAST(l_extendedprice AS DECIMAL(18,3)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(29,14)) AS per_mille
+  CAST(CAST(l_extendedprice AS DECIMAL(18,3)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(23,8)) AS per_mille
 FROM lineitem""")
 def decimal_arith(spark, sf):
     li = T(spark, sf).lineitem
