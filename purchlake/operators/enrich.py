@@ -12,6 +12,13 @@ It covers the forms the marts need:
 * role-playing: the same dimension joined several times under different
   output names.
 
+Rows whose (string) join key is NULL can never match, but a hash shuffle
+would still send all of them to the one partition NULL hashes to -- a hot
+partition when, say, a third of the items carry no material.  ``lookup``
+replaces such a key by a per-row value derived from the row itself (so the
+plan stays deterministic under task retries) and keeps ``key IS NOT NULL``
+in the join condition, so those rows spread evenly and still match nothing.
+
 No broadcast hint is given.  Spark broadcasts the dimension only when its
 size (planner statistics, or AQE's runtime shuffle size) is under
 ``spark.sql.autoBroadcastJoinThreshold``; above that it stays a sort-merge
@@ -24,13 +31,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType, VariantType
 
 _seq = [0]
 
 
+def _row_salt(df: DataFrame) -> Column:
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    return F.concat(F.lit("\u0000"), F.xxhash64(*hashable).cast("string"))
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]],
            cols: Mapping[str, str], where: Column | None = None, gate: Column | None = None,
-           null_safe: bool = False) -> DataFrame:
+           null_safe: bool = False, spread_null_keys: bool = True) -> DataFrame:
     """``df LEFT JOIN dim ON df.l = dim.r [AND where(dim)] [AND gate(df)]``.
 
     on:   pairs (left column or expression, dimension column)
@@ -42,11 +55,19 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]]
     right_keys = [r for _, r in on]
     needed = list(dict.fromkeys([*right_keys, *cols.values()]))
     d = d.select(*[F.col(c).alias(tag + c) for c in needed])
+    dtypes = dict((f.name, f.dataType) for f in df.schema.fields)
+    salt = None
     cond = None
     for left, right in on:
         lcol = F.col(left) if isinstance(left, str) else left
         rcol = F.col(tag + right)
-        c = lcol.eqNullSafe(rcol) if null_safe else (lcol == rcol)
+        if null_safe:
+            c = lcol.eqNullSafe(rcol)
+        elif spread_null_keys and isinstance(left, str) and isinstance(dtypes.get(left), StringType):
+            salt = _row_salt(df) if salt is None else salt
+            c = (F.coalesce(lcol, salt) == rcol) & lcol.isNotNull()
+        else:
+            c = lcol == rcol
         cond = c if cond is None else cond & c
     if gate is not None:
         cond = cond & gate

@@ -169,3 +169,13 @@ def test_checks(spark):
     assert rows(duplicate_keys(df, ["k"]), "k", "n_rows") == [(1, 2)]
     rep = fan_out_report(df, df, [("k", "k")])
     assert rows(rep, "k", "pairs") == [(1, 4)]
+
+
+def test_null_keys_are_spread_but_never_match(spark):
+    left = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    dim = spark.createDataFrame([(None, "null-row"), ("a", "A")], "k string, name string")
+    out = lookup(left, dim, [("k", "k")], {"name": "name"})
+    assert rows(out, "v", "name") == [(1, None), (2, None), (3, "A")]
+    plain = lookup(left, dim, [("k", "k")], {"name": "name"}, spread_null_keys=False)
+    assert rows(plain, "v", "name") == rows(out, "v", "name")
+    assert "xxhash64" in out._jdf.queryExecution().optimizedPlan().toString()
