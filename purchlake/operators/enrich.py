@@ -36,26 +36,35 @@ from pyspark.sql.types import MapType, StringType, VariantType
 _seq = [0]
 
 
-def _row_salt(df: DataFrame) -> Column:
-    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    return F.concat(F.lit("\u0000"), F.xxhash64(*hashable).cast("string"))
+def _row_salt(df: DataFrame, salt_cols: Sequence[str] | None = None) -> Column:
+    names = salt_cols or [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    return F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in names]).cast("string"))
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]],
            cols: Mapping[str, str], where: Column | None = None, gate: Column | None = None,
-           null_safe: bool = False, spread_null_keys: bool = True) -> DataFrame:
+           null_safe: bool = False, spread_null_keys: bool = True,
+           salt_cols: Sequence[str] | None = None) -> DataFrame:
     """``df LEFT JOIN dim ON df.l = dim.r [AND where(dim)] [AND gate(df)]``.
 
-    on:   pairs (left column or expression, dimension column)
-    cols: output name -> dimension column, appended to ``df``
+    on:        pairs (left column or expression, dimension column)
+    cols:      output name -> dimension column, appended to ``df``
+    salt_cols: columns the NULL-key salt is hashed from (default: all of
+               ``df``).  Give the same set to consecutive lookups on the same
+               keys so the shuffle partitioning is reused between them; turn
+               ``spread_null_keys`` off for keys that cannot be NULL.
     """
     _seq[0] += 1
     tag = f"__lk{_seq[0]}_"
     d = dim if where is None else dim.where(where)
-    right_keys = [r for _, r in on]
-    needed = list(dict.fromkeys([*right_keys, *cols.values()]))
-    d = d.select(*[F.col(c).alias(tag + c) for c in needed])
-    dtypes = dict((f.name, f.dataType) for f in df.schema.fields)
+    right_keys = list(dict.fromkeys(r for _, r in on))
+    # key columns carry a private prefix and are dropped after the join; the
+    # looked-up columns get their output names here, on the small side
+    d = d.select(*[F.col(c).alias(tag + c) for c in right_keys],
+                 *[F.col(src).alias(name) for name, src in cols.items()])
+    str_keys = set()
+    if spread_null_keys and not null_safe:
+        str_keys = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
     salt = None
     cond = None
     for left, right in on:
@@ -63,14 +72,12 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]]
         rcol = F.col(tag + right)
         if null_safe:
             c = lcol.eqNullSafe(rcol)
-        elif spread_null_keys and isinstance(left, str) and isinstance(dtypes.get(left), StringType):
-            salt = _row_salt(df) if salt is None else salt
+        elif isinstance(left, str) and left in str_keys:
+            salt = _row_salt(df, salt_cols) if salt is None else salt
             c = (F.coalesce(lcol, salt) == rcol) & lcol.isNotNull()
         else:
             c = lcol == rcol
         cond = c if cond is None else cond & c
     if gate is not None:
         cond = cond & gate
-    out = df.join(d, cond, "left")
-    return out.select(*[F.col(c) for c in df.columns],
-                      *[F.col(tag + src).alias(name) for name, src in cols.items()])
+    return df.join(d, cond, "left").drop(*[tag + c for c in right_keys])

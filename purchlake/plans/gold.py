@@ -213,49 +213,50 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
     pr = _live(pr_items)
     ar = _live(pr_approvals)
     key2 = [("purchasingdocument", "purchasingdocument"), ("purchasingdocumentitem", "purchasingdocumentitem")]
-
-    # items + receipts + header: the frame the measures live on
+    item_id = ["purchasingdocument", "purchasingdocumentitem"]
+
+    # header with its final approval: both keyed by PO, so they are joined on
+    # the small side first (the approval only attaches to released headers)
+    da = lookup(d, po_approvals, [("purchasingdocument", "purchasingdocument")],
+                {"a_approvedate": "approvedate", "a_isapprove": "isapprove", "a_approvercode": "approvercode",
+                 "a_approverdescription": "approverdescription", "a_approverfullname": "approverfullname"},
+                gate=F.col("releasecode") == RELEASED, spread_null_keys=False)
+
+    # latest unit price per (material, plant) within the slice, from a narrow
+    # projection of the items (NULL material / plant can never match)
+    priced = (po.select("material", "plant", "ingestiontime", *item_id,
+                        safe_ratio("netpriceamount", "netpricequantity").alias("price_per_unit"))
+                .where(F.col("price_per_unit").isNotNull() & F.col("material").isNotNull()
+                       & F.col("plant").isNotNull()))
+    priced = lookup(priced, d, [("purchasingdocument", "purchasingdocument")],
+                    {"lm_date": "purchasingdocumentorderdate", "lm_doc": "purchasingdocument"},
+                    spread_null_keys=False)
+    lm = latest_per_key(priced, ["material", "plant"], [F.desc_nulls_last("lm_date"), F.desc("ingestiontime")],
+                        [F.desc("purchasingdocument"), F.desc("purchasingdocumentitem")])
+
+    # the wide frame: joins grouped by key so each key set shuffles it once;
+    # the item key is never NULL (silver guards), so no salting there
     f = lookup(po, h, key2, {"first_grdate": "first_grdate", "latest_grdate": "latest_grdate",
                              "gr_qty": "gr_qty", "gr_value_thb": "gr_value_thb",
-                             "gr_value_pocurrency": "gr_value_pocurrency"})
-    f = lookup(f, d, [("purchasingdocument", "purchasingdocument")],
+                             "gr_value_pocurrency": "gr_value_pocurrency"}, spread_null_keys=False)
+    f = lookup(f, sl, key2, {"po_delivery_date": "schedulelinedeliverydate"}, spread_null_keys=False)
+    f = lookup(f, pr, key2, {"pr_uid": "purchasereqnitemuniqueid"}, spread_null_keys=False)
+    f = lookup(f, da, [("purchasingdocument", "purchasingdocument")],
                {"d_doc": "purchasingdocument", **{f"d_{c}": c for c in HEADER_ATTRS},
-                "d_purchasinggroupname": "purchasinggroupname"})
-    f = (f.withColumn("price_per_unit", safe_ratio("netpriceamount", "netpricequantity"))
-          .withColumn("gr_value_per_unit", safe_ratio("gr_value_thb", "gr_qty"))
-          .withColumn("gr_quantity_remain", remaining_qty("orderquantity", "gr_qty", "iscompletelydelivered"))
-          .withColumn("gr_value_remain", remaining_value("orderquantity", "gr_qty", "iscompletelydelivered",
-                                                         "netpriceamount", "netpricequantity"))
-          .withColumn("gr_value_remain_thb", remaining_value("orderquantity", "gr_qty", "iscompletelydelivered",
-                                                             "netpriceamount", "netpricequantity",
-                                                             rate="d_exchangerate", dtype="decimal(18,4)")))
-
-    # latest unit price per (material, plant) within the slice
-    lm = latest_per_key(
-        f.where(F.col("price_per_unit").isNotNull() & F.col("material").isNotNull() & F.col("plant").isNotNull())
-         .select("material", "plant", "price_per_unit", "d_purchasingdocumentorderdate", "d_doc",
-                 "ingestiontime", "purchasingdocument", "purchasingdocumentitem"),
-        ["material", "plant"],
-        [F.desc_nulls_last("d_purchasingdocumentorderdate"), F.desc("ingestiontime")],
-        [F.desc("purchasingdocument"), F.desc("purchasingdocumentitem")])
-
-    f = lookup(f, sl, key2, {"po_delivery_date": "schedulelinedeliverydate"})
-    f = lookup(f, po_approvals, [("d_doc", "purchasingdocument")],
-               {"a_approvedate": "approvedate", "a_isapprove": "isapprove", "a_approvercode": "approvercode",
-                "a_approverdescription": "approverdescription", "a_approverfullname": "approverfullname"},
-               gate=F.col("d_releasecode") == RELEASED)
+                "d_purchasinggroupname": "purchasinggroupname",
+                **{c: c for c in ["a_approvedate", "a_isapprove", "a_approvercode", "a_approverdescription",
+                                  "a_approverfullname"]}}, spread_null_keys=False)
     f = lookup(f, p, [("d_purchasingdocumentcondition", "pricingdocument"),
                       ("purchasingdocumentitem", "pricingdocumentitem")],
                {f"p_{c}": c for c in ["freight_amount", "freight_amount_thb", "clearance_amount",
                                       "clearance_amount_thb", "discount_amount", "discount_amount_thb",
-                                      "po_actual_value"]})
+                                      "po_actual_value"]}, salt_cols=item_id)
     f = lookup(f, lm, [("material", "material"), ("plant", "plant")],
-               {"lm_price": "price_per_unit", "lm_date": "d_purchasingdocumentorderdate", "lm_doc": "d_doc"})
+               {"lm_price": "price_per_unit", "lm_date": "lm_date", "lm_doc": "lm_doc"}, salt_cols=item_id)
+    f = lookup(f, ar, [("pr_uid", "purchasereqnitemuniqueid")], {"ar_updatedate": "updatedate"},
+               salt_cols=item_id)
     f = lookup(f, units, [("orderquantityunit", "unitofmeasure")], {"uom_p": "unitofmeasure_e"})
     f = lookup(f, units, [("baseunit", "unitofmeasure")], {"uom_b": "unitofmeasure_e"})
-    # requisition joins last: they are the only ones that can add rows
-    f = lookup(f, pr, key2, {"pr_uid": "purchasereqnitemuniqueid"})
-    f = lookup(f, ar, [("pr_uid", "purchasereqnitemuniqueid")], {"ar_updatedate": "updatedate"})
 
     qty = "orderquantity"
     return f.select(
@@ -268,7 +269,8 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
         F.col("d_purchasinggroupname").alias("purchasinggroupname"),
         "po_delivery_date", "netpriceamount", "netamount",
         to_local("netamount", "d_exchangerate").alias("netamount_thb"),
-        "netpricequantity", "price_per_unit", "first_grdate", "latest_grdate",
+        "netpricequantity", safe_ratio("netpriceamount", "netpricequantity").alias("price_per_unit"),
+        "first_grdate", "latest_grdate",
         F.col(qty).alias("po_quantity"),
         F.col("uom_p").alias("purchasing_unit"),
         uom_to_base(qty, "quantity_numerator", "quantity_denominator").alias("material_qty_conversion"),
@@ -282,7 +284,7 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
         F.col("d_exchangerate").alias("exchangerate"),
         F.col("gr_value_thb").alias("total_gr_value_thb"),
         F.col("gr_value_pocurrency").alias("total_gr_value_po_currency"),
-        "gr_value_per_unit",
+        safe_ratio("gr_value_thb", "gr_qty").alias("gr_value_per_unit"),
         F.col("p_freight_amount").cast("decimal(18,4)").alias("total_freight_amount"),
         F.col("p_freight_amount_thb").cast("decimal(18,4)").alias("total_freight_amount_thb"),
         F.col("p_clearance_amount").cast("decimal(18,4)").alias("total_clearance_amount"),
@@ -295,7 +297,12 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
         substr_from("d_supplier", 3).alias("supplier"),
         F.col("d_suppliername").alias("suppliername"),
         F.col("d_paymentterms").alias("paymentterms"),
-        "iscompletelydelivered", "gr_quantity_remain", "gr_value_remain", "gr_value_remain_thb",
+        "iscompletelydelivered",
+        remaining_qty("orderquantity", "gr_qty", "iscompletelydelivered").alias("gr_quantity_remain"),
+        remaining_value("orderquantity", "gr_qty", "iscompletelydelivered", "netpriceamount", "netpricequantity")
+        .alias("gr_value_remain"),
+        remaining_value("orderquantity", "gr_qty", "iscompletelydelivered", "netpriceamount", "netpricequantity",
+                        rate="d_exchangerate", dtype="decimal(18,4)").alias("gr_value_remain_thb"),
         F.col("d_releasecode").alias("releasecode"),
         F.col("a_approvercode").alias("approvercode"),
         F.col("a_approverdescription").alias("approverdescription"),
