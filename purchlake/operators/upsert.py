@@ -91,3 +91,38 @@ def write_snapshot(df: DataFrame, table_path: str, partition_by: Sequence[str] =
     spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(
         f"{table_path}/{CURRENT}")
     return f"{table_path}/{name}"
+
+
+def upsert_partitions(spark: SparkSession, table_path: str, batch: DataFrame, keys: Sequence[str],
+                      partition_col: str, version: str | None = None) -> None:
+    """Upsert ``batch`` into a parquet table partitioned by ``partition_col``,
+    rewriting only the partitions the batch touches.
+
+    ``partition_col`` must be a stable function of the key (every version of a
+    key lands in the same partition), e.g. a document-number prefix, so
+    recent changes concentrate in few partitions, or a hash bucket.
+
+    touched partitions -> read only those (semi-join lets partition pruning
+    skip the rest) -> merge -> checkpoint into the shared checkpoint folder
+    (cuts the lineage to the files about to be replaced) -> dynamic partition
+    overwrite.  Each key lives in one partition, so a failure part-way leaves
+    every key either old or new, and re-running the batch is idempotent.
+    """
+    try:
+        # the batch's schema also types the partition column: left to
+        # inference, a value such as '00000000' would come back as an integer
+        current = spark.read.schema(batch.schema).parquet(table_path)
+        current.columns  # noqa: B018 - resolves the path now
+        if not current.inputFiles():
+            current = None
+    except Exception:  # noqa: BLE001 - first write: the table does not exist yet
+        current = None
+    if current is None:
+        merged = batch
+    else:
+        touched = batch.select(partition_col).distinct()
+        affected = current.join(touched, partition_col, "left_semi")
+        merged = upsert_by_key(affected, batch.select(*current.columns), keys, version=version)
+        merged = merged.checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(table_path))

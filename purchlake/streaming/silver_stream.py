@@ -19,17 +19,32 @@ placed under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import read_table, upsert_by_key, write_snapshot
+from ..operators.upsert import read_table, upsert_by_key, upsert_partitions, write_snapshot
 from ..plans import silver
 from ..session import checkpoint_dir
 
 
 def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame, table_path: str,
-                lookups=None, use_high_water_mark: bool = True, version: str | None = None) -> str:
-    """Apply one micro-batch (or any batch of feed rows) to the silver table."""
+                lookups=None, use_high_water_mark: bool = True, version: str | None = None,
+                partition: tuple[str, Column] | None = None) -> str:
+    """Apply one micro-batch (or any batch of feed rows) to the silver table.
+
+    partition=(name, expr): keep the table partitioned by ``expr`` (a stable
+    function of the business key, e.g. a document-number prefix) and rewrite
+    only the partitions the batch touches; otherwise every merge writes a new
+    snapshot of the whole table."""
+    if partition is not None:
+        name, expr = partition
+        try:
+            target = spark.read.parquet(table_path)
+        except Exception:  # noqa: BLE001 - first batch
+            target = None
+        fresh = silver.run(spec, batch, lookups, target=target, initial=not use_high_water_mark)
+        upsert_partitions(spark, table_path, fresh.withColumn(name, expr), spec.keys, name, version=version)
+        return table_path
     target = read_table(spark, table_path)
     if use_high_water_mark:
         fresh = silver.run(spec, batch, lookups, target=target)
@@ -42,7 +57,7 @@ def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame,
 def start(spark: SparkSession, spec: silver.SilverSpec, feed_path: str, table_path: str,
           lookups=None, checkpoint_location: str | None = None, available_now: bool = True,
           processing_time: str | None = None, max_files_per_trigger: int | None = None,
-          use_high_water_mark: bool = True) -> StreamingQuery:
+          use_high_water_mark: bool = True, partition: tuple[str, Column] | None = None) -> StreamingQuery:
     """Start the streaming load of one silver table from a parquet feed directory."""
     schema = spark.read.parquet(feed_path).schema
     reader = spark.readStream.schema(schema)
@@ -52,7 +67,7 @@ def start(spark: SparkSession, spec: silver.SilverSpec, feed_path: str, table_pa
     ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{spec.name}"
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(spark, spec, batch, table_path, lookups, use_high_water_mark)
+        merge_batch(spark, spec, batch, table_path, lookups, use_high_water_mark, partition=partition)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     if available_now:

@@ -44,3 +44,20 @@ def test_rerun_of_a_batch_is_idempotent(spark, scratch):
     twice = read_table(spark, table).drop(silver.AUDIT)
     assert once.count() == twice.count()
     assert once.exceptAll(twice).count() == 0
+
+
+def test_partitioned_merges_equal_batch(spark, scratch):
+    from purchlake.session import checkpoint_dir
+    checkpoint_dir(spark)
+    t = Tables(spark, SF)
+    lk = Lookups(spark, t)
+    spec = silver.spec_for("silver_mm_zimmpurgdocitem")
+    feed = FEEDS[spec.feed](t)
+    table = f"{scratch}/items_by_prefix"
+    part = ("docprefix", F.substring("purchasingdocument", 1, 8))
+    streaming.merge_batch(spark, spec, feed.where(F.col("ingestiontime") < F.lit(CUT)), table, lk, partition=part)
+    streaming.merge_batch(spark, spec, feed.where(F.col("ingestiontime") >= F.lit(CUT)), table, lk, partition=part)
+    got = spark.read.parquet(table).drop(silver.AUDIT, "docprefix")
+    want = silver.run(spec, feed, lk).drop(silver.AUDIT)
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select(*got.columns)).count() == 0
