@@ -19,6 +19,12 @@ COMPACT_TIMESTAMP = "yyyyMMddHHmmss"
 OPEN_END_DATE = "9999-12-31"
 
 
+def ntz(ts) -> Column:
+    """Wall-clock timestamp literal (TIMESTAMP_NTZ).  ``F.lit(datetime)`` would
+    go through the Python process's local zone and the session zone."""
+    return F.expr(f"TIMESTAMP_NTZ '{ts:%Y-%m-%d %H:%M:%S.%f}'")
+
+
 def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import ntz
+
 # Fixed values from the reference: overlap window and empty-target floor.
 DEFAULT_LOOKBACK = "6 hours"
 DEFAULT_FLOOR = dt.datetime(1900, 1, 1)
@@ -30,7 +32,7 @@ def high_water_mark(target: DataFrame, ts_col: str = "ingestiontime",
     A global max is a partial aggregate per task plus a single-row final
     merge, so it is cheap at any table size."""
     ts_type = target.schema[ts_col].dataType.simpleString()
-    floor_lit = F.lit(floor).cast(ts_type)
+    floor_lit = ntz(floor).cast(ts_type)
     return target.agg((F.coalesce(F.max(ts_col), floor_lit) - _interval(lookback)).alias("hwm"))
 
 
@@ -49,7 +51,8 @@ def since(feed: DataFrame, target: DataFrame | None, ts_col: str = "ingestiontim
     hwm = high_water_mark(target, target_ts_col or ts_col, lookback, floor)
     if mode == "literal":
         mark = hwm.first()["hwm"]
-        return feed.filter(F.col(ts_col) >= F.lit(mark))
+        ntz_mark = hwm.schema["hwm"].dataType.simpleString() == "timestamp_ntz"
+        return feed.filter(F.col(ts_col) >= (ntz(mark) if ntz_mark else F.lit(mark)))
     return feed.filter(F.col(ts_col) >= hwm.scalar())
 
 

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import ntz
 from ..sources import FEEDS, Lookups, Tables
 from . import gold, oracle, silver
 from .materialize import materialized
@@ -96,14 +97,14 @@ def silver_po_item_incremental(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     spec = silver.spec_for("silver_mm_zimmpurgdocitem")
     feed = c.feed(spec.feed)
-    target = silver.run(spec, feed.where(F.col("ingestiontime") < F.lit(INCREMENT_CUT)), c.lk)
+    target = silver.run(spec, feed.where(F.col("ingestiontime") < ntz(INCREMENT_CUT)), c.lk)
     return _no_audit(silver.run(spec, feed, c.lk, target=target))
 
 
 def mart_po_history_incremental(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     history, items, headers = c.history(), c.items(), c.headers()
-    target = gold.mart_po_history(history.where(F.col("ingestiontime") < F.lit(INCREMENT_CUT)), items, headers)
+    target = gold.mart_po_history(history.where(F.col("ingestiontime") < ntz(INCREMENT_CUT)), items, headers)
     return _no_audit(gold.mart_po_history(history, items, headers, target=target))
 
 

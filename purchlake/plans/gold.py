@@ -27,7 +27,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (late_days, lead_days, open_end_date, ratio, remaining_qty, remaining_value,
+from ..functions import (late_days, ntz, lead_days, open_end_date, ratio, remaining_qty, remaining_value,
                          safe_ratio, substr_from, to_local, uom_to_base, uom_to_target)
 from ..operators.aggregate import conditional_sum, converted_sum, signed_sum
 from ..operators.dedup import latest_per_key, preferred_match
@@ -58,7 +58,7 @@ def _live_items(items: DataFrame) -> DataFrame:
 
 def _slice(df: DataFrame, target: DataFrame | None, lookback: str, floor: dt.datetime) -> DataFrame:
     if target is None:
-        return df.where(F.col("ingestiontime") >= F.lit(floor) - F.expr(f"INTERVAL {lookback}"))
+        return df.where(F.col("ingestiontime") >= ntz(floor) - F.expr(f"INTERVAL {lookback}"))
     return since(df, target, lookback=lookback, floor=floor)
 
 

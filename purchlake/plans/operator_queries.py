@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (coalesce_default, concat_strict, date_diff_days, label, late_days, lead_days,
+from ..functions import (coalesce_default, ntz, concat_strict, date_diff_days, label, late_days, lead_days,
                          null_or_empty_flag, open_end_date, parse_compact_date, parse_compact_ts,
                          remaining_qty, remaining_value, safe_ratio, substr_from, to_local, uom_to_base,
                          uom_to_target)
@@ -114,7 +114,7 @@ def upsert_query(spark, sf):
     feed = FEEDS["zimmpurgdocitem"](T(spark, sf)).select(*keys, F.col("netpriceamount").cast("decimal(18,2)"),
                                                           "ingestiontime", "changesequence")
     order, tb = [F.desc("ingestiontime")], [F.desc("changesequence")]
-    target = latest_per_key(feed.where(F.col("ingestiontime") < F.lit(CUT)), keys, order, tb)
+    target = latest_per_key(feed.where(F.col("ingestiontime") < ntz(CUT)), keys, order, tb)
     batch = latest_per_key(since(feed, target), keys, order, tb)
     return upsert_by_key(target, batch, keys)
 

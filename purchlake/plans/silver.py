@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import concat_strict, label, null_or_empty_flag, parse_compact_date, parse_compact_ts, substr_from
+from ..functions import concat_strict, ntz, label, null_or_empty_flag, parse_compact_date, parse_compact_ts, substr_from
 from ..operators.conform import Field, conform
 from ..operators.dedup import latest_per_key
 from ..operators.enrich import lookup
@@ -89,7 +89,7 @@ def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | Non
     if initial:
         df = feed
     elif target is None:
-        df = feed.filter(F.col("ingestiontime") >= F.lit(floor) - F.expr(f"INTERVAL {lookback}"))
+        df = feed.filter(F.col("ingestiontime") >= ntz(floor) - F.expr(f"INTERVAL {lookback}"))
     else:
         df = since(feed, target, lookback=lookback, floor=floor, mode=hwm_mode)
     df = require_keys(df, spec.guards)

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from purchlake.functions import ntz
 from purchlake.operators import upsert_by_key
 from purchlake.plans import gold, silver
 from purchlake.plans.catalog import Ctx
@@ -68,7 +69,7 @@ def test_q3_mart_increment_is_driven_by_the_main_table(spark):
     c = Ctx(spark, SF)
     cut = dt.datetime(1998, 6, 1)
     history = c.history()
-    first = gold.mart_po_history(history.where(F.col("ingestiontime") < F.lit(cut)), c.items(), c.headers())
+    first = gold.mart_po_history(history.where(F.col("ingestiontime") < ntz(cut)), c.items(), c.headers())
     inc = gold.mart_po_history(history, c.items(), c.headers(), target=first)
     mark = first.agg(F.max("ingestiontime")).first()[0] - dt.timedelta(hours=6)
     assert inc.where(F.col("ingestiontime") < F.lit(mark)).count() == 0

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from purchlake import streaming
+from purchlake.functions import ntz
 from purchlake.operators.upsert import read_table
 from purchlake.plans import silver
 from purchlake.sources import FEEDS, Lookups, Tables
@@ -19,11 +20,11 @@ def test_stream_two_drops_equals_batch(spark, scratch):
     spec = silver.spec_for("silver_mm_zimmpurgdocitem")
     feed = FEEDS[spec.feed](t)
     feed_dir, table = f"{scratch}/feed", f"{scratch}/silver_items"
-    feed.where(F.col("ingestiontime") < F.lit(CUT)).write.parquet(feed_dir)
+    feed.where(F.col("ingestiontime") < ntz(CUT)).write.parquet(feed_dir)
     q = streaming.start(spark, spec, feed_dir, table, lk, checkpoint_location=f"{scratch}/ckpt")
     q.awaitTermination(300)
     first = read_table(spark, table).count()
-    feed.where(F.col("ingestiontime") >= F.lit(CUT)).write.mode("append").parquet(feed_dir)
+    feed.where(F.col("ingestiontime") >= ntz(CUT)).write.mode("append").parquet(feed_dir)
     q = streaming.start(spark, spec, feed_dir, table, lk, checkpoint_location=f"{scratch}/ckpt")
     q.awaitTermination(300)
     got = read_table(spark, table).drop(silver.AUDIT)
@@ -55,8 +56,8 @@ def test_partitioned_merges_equal_batch(spark, scratch):
     feed = FEEDS[spec.feed](t)
     table = f"{scratch}/items_by_prefix"
     part = ("docprefix", F.substring("purchasingdocument", 1, 8))
-    streaming.merge_batch(spark, spec, feed.where(F.col("ingestiontime") < F.lit(CUT)), table, lk, partition=part)
-    streaming.merge_batch(spark, spec, feed.where(F.col("ingestiontime") >= F.lit(CUT)), table, lk, partition=part)
+    streaming.merge_batch(spark, spec, feed.where(F.col("ingestiontime") < ntz(CUT)), table, lk, partition=part)
+    streaming.merge_batch(spark, spec, feed.where(F.col("ingestiontime") >= ntz(CUT)), table, lk, partition=part)
     got = spark.read.parquet(table).drop(silver.AUDIT, "docprefix")
     want = silver.run(spec, feed, lk).drop(silver.AUDIT)
     assert got.count() == want.count()
