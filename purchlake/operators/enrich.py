@@ -27,13 +27,14 @@ join, so a dimension that grows with the data cannot blow up executors.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, VariantType
 
-_seq = [0]
+_tags = itertools.count(1)
 
 
 def _row_salt(df: DataFrame, salt_cols: Sequence[str] | None = None) -> Column:
@@ -54,8 +55,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]]
                keys so the shuffle partitioning is reused between them; turn
                ``spread_null_keys`` off for keys that cannot be NULL.
     """
-    _seq[0] += 1
-    tag = f"__lk{_seq[0]}_"
+    tag = f"__lk{next(_tags)}_"
     d = dim if where is None else dim.where(where)
     right_keys = list(dict.fromkeys(r for _, r in on))
     # key columns carry a private prefix and are dropped after the join; the

@@ -27,7 +27,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (late_days, ntz, lead_days, open_end_date, ratio, remaining_qty, remaining_value,
+from ..functions import (late_days, ntz, lead_days, open_end_date, remaining_qty, remaining_value,
                          safe_ratio, substr_from, to_local, uom_to_base, uom_to_target)
 from ..operators.aggregate import conditional_sum, converted_sum, signed_sum
 from ..operators.dedup import latest_per_key, preferred_match
@@ -298,11 +298,12 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
         F.col("d_suppliername").alias("suppliername"),
         F.col("d_paymentterms").alias("paymentterms"),
         "iscompletelydelivered",
-        remaining_qty("orderquantity", "gr_qty", "iscompletelydelivered").alias("gr_quantity_remain"),
-        remaining_value("orderquantity", "gr_qty", "iscompletelydelivered", "netpriceamount", "netpricequantity")
-        .alias("gr_value_remain"),
+        remaining_qty("orderquantity", "gr_qty", "iscompletelydelivered", DELIVERED).alias("gr_quantity_remain"),
         remaining_value("orderquantity", "gr_qty", "iscompletelydelivered", "netpriceamount", "netpricequantity",
-                        rate="d_exchangerate", dtype="decimal(18,4)").alias("gr_value_remain_thb"),
+                        delivered_code=DELIVERED).alias("gr_value_remain"),
+        remaining_value("orderquantity", "gr_qty", "iscompletelydelivered", "netpriceamount", "netpricequantity",
+                        rate="d_exchangerate", dtype="decimal(18,4)", delivered_code=DELIVERED)
+        .alias("gr_value_remain_thb"),
         F.col("d_releasecode").alias("releasecode"),
         F.col("a_approvercode").alias("approvercode"),
         F.col("a_approverdescription").alias("approverdescription"),
