@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CURRENT = "_CURRENT"
+MARK = "_MARK"
 
 
 def upsert_by_key(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
@@ -77,17 +78,34 @@ def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
     return None if snap is None else spark.read.parquet(snap)
 
 
-def write_snapshot(df: DataFrame, table_path: str, partition_by: Sequence[str] = ()) -> str:
+def read_mark(spark: SparkSession, table_path: str):
+    """High-water mark stored with the table (its max ingestion time), or None."""
+    try:
+        row = spark.read.text(f"{table_path}/{MARK}").first()
+    except Exception:  # noqa: BLE001 - no mark stored
+        return None
+    if not row or not row.value.strip():
+        return None
+    import datetime as dt
+    return dt.datetime.fromisoformat(row.value.strip())
+
+
+def write_snapshot(df: DataFrame, table_path: str, partition_by: Sequence[str] = (), mark=None) -> str:
     """Write ``df`` as a new snapshot, then switch the pointer to it.
 
     Paths go through Spark's own writers, so any Hadoop-compatible shared
-    store works; the pointer is switched only after the data commit."""
+    store works; the pointer is switched only after the data commit.
+    ``mark`` (the snapshot's max ingestion time) is stored next to it, so the
+    next incremental run needs no scan of the table to find its mark."""
     spark = df.sparkSession
     name = f"snap-{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{table_path}/{name}")
+    if mark is not None:
+        spark.createDataFrame([(mark.isoformat(),)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{table_path}/{MARK}")
     spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(
         f"{table_path}/{CURRENT}")
     return f"{table_path}/{name}"

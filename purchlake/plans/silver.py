@@ -79,17 +79,19 @@ def _envelope() -> list[Field]:
 
 def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | None = None,
         initial: bool = False, lookback: str = DEFAULT_LOOKBACK, floor: dt.datetime = DEFAULT_FLOOR,
-        hwm_mode: str = "subquery", on_error: str = "null") -> DataFrame:
+        hwm_mode: str = "subquery", on_error: str = "null", mark: dt.datetime | None = None) -> DataFrame:
     """Build one silver batch.
 
     initial=True  : full history, no high-water mark (initial-load variant).
     target=None   : incremental against an empty target (everything with a
                     non-NULL ingestion time).
-    target=frame  : incremental against the current silver table."""
+    target=frame  : incremental against the current silver table.
+    mark=datetime : the target's max(ingestiontime), already known (stored
+                    with the table), so the target is not scanned for it."""
     if initial:
         df = feed
-    elif target is None:
-        df = feed.filter(F.col("ingestiontime") >= ntz(floor) - F.expr(f"INTERVAL {lookback}"))
+    elif mark is not None or target is None:
+        df = feed.filter(F.col("ingestiontime") >= ntz(mark or floor) - F.expr(f"INTERVAL {lookback}"))
     else:
         df = since(feed, target, lookback=lookback, floor=floor, mode=hwm_mode)
     df = require_keys(df, spec.guards)

@@ -22,7 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import read_table, upsert_by_key, upsert_partitions, write_snapshot
+from pyspark.sql import functions as F
+
+from ..operators.upsert import read_mark, read_table, upsert_by_key, upsert_partitions, write_snapshot
 from ..plans import silver
 from ..session import checkpoint_dir
 
@@ -46,12 +48,23 @@ def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame,
         upsert_partitions(spark, table_path, fresh.withColumn(name, expr), spec.keys, name, version=version)
         return table_path
     target = read_table(spark, table_path)
+    mark = read_mark(spark, table_path) if target is not None else None
     if use_high_water_mark:
-        fresh = silver.run(spec, batch, lookups, target=target)
+        # the stored mark spares a scan of the whole table for max(ingestiontime)
+        fresh = silver.run(spec, batch, lookups, target=target, mark=mark)
     else:
         fresh = silver.run(spec, batch, lookups, initial=True)
-    merged = upsert_by_key(target, fresh, spec.keys, version=version)
-    return write_snapshot(merged, table_path)
+    # the batch is small: keep it for the mark and the merge, do not recompute it
+    fresh = fresh.persist()
+    try:
+        batch_max = fresh.agg(F.max("ingestiontime")).first()[0]
+        if mark is None and target is not None:
+            mark = target.agg(F.max("ingestiontime")).first()[0]
+        marks = [m for m in (mark, batch_max) if m is not None]
+        merged = upsert_by_key(target, fresh, spec.keys, version=version)
+        return write_snapshot(merged, table_path, mark=max(marks) if marks else None)
+    finally:
+        fresh.unpersist()
 
 
 def start(spark: SparkSession, spec: silver.SilverSpec, feed_path: str, table_path: str,

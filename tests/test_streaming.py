@@ -62,3 +62,17 @@ def test_partitioned_merges_equal_batch(spark, scratch):
     want = silver.run(spec, feed, lk).drop(silver.AUDIT)
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_stored_mark_tracks_the_table_max(spark, scratch):
+    from purchlake.operators.upsert import read_mark
+    t = Tables(spark, SF)
+    spec = silver.spec_for("silver_mm_zipritem")
+    feed = FEEDS[spec.feed](t)
+    table = f"{scratch}/silver_pr_mark"
+    streaming.merge_batch(spark, spec, feed.where(F.col("ingestiontime") < ntz(CUT)), table)
+    streaming.merge_batch(spark, spec, feed.where(F.col("ingestiontime") >= ntz(CUT)), table)
+    got = read_table(spark, table)
+    assert read_mark(spark, table) == got.agg(F.max("ingestiontime")).first()[0]
+    want = silver.run(spec, feed).drop(silver.AUDIT)
+    assert got.drop(silver.AUDIT).exceptAll(want).count() == 0 and got.count() == want.count()
