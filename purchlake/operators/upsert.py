@@ -141,6 +141,8 @@ def upsert_partitions(spark: SparkSession, table_path: str, batch: DataFrame, ke
         touched = batch.select(partition_col).distinct()
         affected = current.join(touched, partition_col, "left_semi")
         merged = upsert_by_key(affected, batch.select(*current.columns), keys, version=version)
+        from ..session import checkpoint_dir
+        checkpoint_dir(spark)  # the shared folder named by spark.checkpoint.dir
         merged = merged.checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table_path))
