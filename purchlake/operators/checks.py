@@ -25,3 +25,13 @@ def fan_out_report(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, st
     return (lc.join(rc, lk, "inner")
               .withColumn("pairs", F.col("left_rows") * F.col("right_rows"))
               .where(F.col("right_rows") > 1))
+
+
+def uniqueness_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One-row summary of how unique ``keys`` are in ``df``: rows, distinct
+    keys, keys that occur more than once and the largest multiplicity.
+    Two aggregation passes (per key, then global), no row leaves the executors."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
+                       F.count(F.when(F.col("n") > 1, 1)).alias("n_duplicate_keys"),
+                       F.max("n").alias("max_rows_per_key"))

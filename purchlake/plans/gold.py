@@ -56,10 +56,14 @@ def _live_items(items: DataFrame) -> DataFrame:
     return _live(items).where(F.col("purchasingdocumentdeletioncode").isNull())
 
 
-def _slice(df: DataFrame, target: DataFrame | None, lookback: str, floor: dt.datetime) -> DataFrame:
+def _slice(df: DataFrame, target: DataFrame | None, lookback: str, floor: dt.datetime,
+           watermark_col: str = "ingestiontime") -> DataFrame:
+    """Rows of the main table at or after the mart's mark.  ``watermark_col``
+    names the mart column the mark is taken from (the info-record mart stores
+    the info record's ingestion time there, yet slices items by theirs: Q4)."""
     if target is None:
         return df.where(F.col("ingestiontime") >= ntz(floor) - F.expr(f"INTERVAL {lookback}"))
-    return since(df, target, lookback=lookback, floor=floor)
+    return since(df, target, target_ts_col=watermark_col, lookback=lookback, floor=floor)
 
 
 # ---------------------------------------------------------------- last price
@@ -115,9 +119,9 @@ HISTORY_COLS = ["purchasingdocument", "purchasingdocumentitem", "accountassignme
 
 def mart_po_history(history: DataFrame, items: DataFrame, headers: DataFrame,
                     target: DataFrame | None = None, lookback: str = DEFAULT_LOOKBACK,
-                    floor: dt.datetime = DEFAULT_FLOOR) -> DataFrame:
+                    floor: dt.datetime = DEFAULT_FLOOR, watermark_col: str = "ingestiontime") -> DataFrame:
     """History rows with item and header attributes (header via the item)."""
-    h = _slice(_live(history), target, lookback, floor).select(*HISTORY_COLS, *ENVELOPE_OUT)
+    h = _slice(_live(history), target, lookback, floor, watermark_col).select(*HISTORY_COLS, *ENVELOPE_OUT)
     po = _live_items(items).select("purchasingdocument", "purchasingdocumentitem", *ITEM_ATTRS)
     out = lookup(h, po, [("purchasingdocument", "purchasingdocument"),
                          ("purchasingdocumentitem", "purchasingdocumentitem")],
@@ -135,11 +139,11 @@ INFO_COLS = ["purchasinginforecord", "purchasingorganization", "purchasinginfore
 
 def mart_info_record(items: DataFrame, info: DataFrame, headers: DataFrame,
                      target: DataFrame | None = None, lookback: str = DEFAULT_LOOKBACK,
-                     floor: dt.datetime = DEFAULT_FLOOR) -> DataFrame:
+                     floor: dt.datetime = DEFAULT_FLOOR, watermark_col: str = "ingestiontime") -> DataFrame:
     """Each live PO item with its preferred info record: same plant first,
     then a plant-less record, then any other; within a class the newest
     record wins (then organisation, category, plant)."""
-    po = _slice(_live_items(items), target, lookback, floor).select(
+    po = _slice(_live_items(items), target, lookback, floor, watermark_col).select(
         "purchasingdocument", "purchasingdocumentitem", "plant", "purchasinginforecord", *ITEM_ATTRS)
     i = _live(info)
     right = ["purchasinginforecord", "purchasingorganization", "purchasinginforecordcategory", "plant",
@@ -203,9 +207,9 @@ def pricing_by_item(pricing: DataFrame) -> DataFrame:
 def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_approvals: DataFrame,
                  pr_approvals: DataFrame, headers: DataFrame, history: DataFrame, pricing: DataFrame,
                  units: DataFrame, target: DataFrame | None = None, lookback: str = DEFAULT_LOOKBACK,
-                 floor: dt.datetime = DEFAULT_FLOOR) -> DataFrame:
+                 floor: dt.datetime = DEFAULT_FLOOR, watermark_col: str = "ingestiontime") -> DataFrame:
     """Wide PO-item fact (76 columns)."""
-    po = _slice(_live_items(items), target, lookback, floor)
+    po = _slice(_live_items(items), target, lookback, floor, watermark_col)
     d = _headers(headers)
     h = receipts_by_item(history)
     p = pricing_by_item(pricing)

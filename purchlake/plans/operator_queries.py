@@ -750,3 +750,18 @@ def late_days_q(spark, sf):
         F.col("o_orderdate").cast("date"), 30)).alias("due"))
     o = lookup(o, _ships(t), [("o_orderkey", "l_orderkey")], {"last_ship": "last_ship"})
     return o.select("o_orderkey", late_days("due", "last_ship").alias("late_days"))
+
+
+# ---------------------------------------------------------------- checks
+
+
+@op("uniqueness_check", O.sql("""SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys,
+  count(CASE WHEN n > 1 THEN 1 END) AS n_duplicate_keys, max(n) AS max_rows_per_key
+FROM (SELECT purchasingdocument, purchasingdocumentitem, count(*) AS n FROM s_pr_item
+      GROUP BY purchasingdocument, purchasingdocumentitem)""", "s_pr_item"))
+def uniqueness_check_q(spark, sf):
+    """Grain check behind the item mart's fan-out: requisition items per PO item."""
+    from .catalog import Ctx
+    from ..operators import uniqueness_check
+    return uniqueness_check(Ctx(spark, sf).silver("silver_mm_zipritem"),
+                            ["purchasingdocument", "purchasingdocumentitem"])
