@@ -13,10 +13,7 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Fixed values that the reference's queries use verbatim.
-COMPACT_DATE = "yyyyMMdd"
-COMPACT_TIMESTAMP = "yyyyMMddHHmmss"
-OPEN_END_DATE = "9999-12-31"
+from ..fixed import COMPACT_DATE, COMPACT_TIMESTAMP, FREE_ITEM_FLAG, OPEN_END_DATE
 
 
 def ntz(ts) -> Column:
@@ -52,7 +49,7 @@ def substr_from(c: ColumnOrName, start: int) -> Column:
     return F.substring(col(c), start, 2_147_483_647)
 
 
-def null_or_empty_flag(c: ColumnOrName, flag: str = "X") -> Column:
+def null_or_empty_flag(c: ColumnOrName, flag: str = FREE_ITEM_FLAG) -> Column:
     """``flag`` when the input is NULL or '' else NULL (free-item flag)."""
     x = col(c)
     return F.when(x.isNull() | (x == ""), F.lit(flag))

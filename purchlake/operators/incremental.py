@@ -14,11 +14,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import EMPTY_TARGET_FLOOR, LOOKBACK
 from ..functions.scalar import ntz
 
-# Fixed values from the reference: overlap window and empty-target floor.
-DEFAULT_LOOKBACK = "6 hours"
-DEFAULT_FLOOR = dt.datetime(1900, 1, 1)
+DEFAULT_LOOKBACK = LOOKBACK
+DEFAULT_FLOOR = EMPTY_TARGET_FLOOR
 
 
 def _interval(lookback: str) -> Column:

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from ..functions import (late_days, ntz, lead_days, open_end_date, remaining_qty, remaining_value,
                          safe_ratio, substr_from, to_local, uom_to_base, uom_to_target)
+from ..fixed import (CONDITION_TOTALS, CREDIT_CODE, DELIVERED, FIRST_SCHEDULE_LINE, GRAM_UNIT, GRAMS_PER_KG,
+                     LOCAL_CURRENCY, RECEIPT_MOVEMENTS, RELEASED, SUPPLIER_FROM)
 from ..operators.aggregate import conditional_sum, converted_sum, signed_sum
 from ..operators.dedup import latest_per_key, preferred_match
 from ..operators.enrich import lookup
@@ -37,14 +39,6 @@ from ..operators.incremental import DEFAULT_FLOOR, DEFAULT_LOOKBACK, since
 MART_AUDIT = "last_main_silver_modified_dt"
 ENVELOPE_OUT = ["ingestiontime", "isinsert", "isupsert", "isdelete", "changetype"]
 
-# Fixed values from the reference queries.
-RECEIPT_MOVEMENTS = ["101", "102"]
-CREDIT_CODE = "H"
-DELIVERED = "X"
-FIRST_SCHEDULE_LINE = "0001"
-RELEASED = "R"
-LOCAL_CURRENCY = "THB"
-GRAM_UNIT, GRAMS_PER_KG = "G", 1000
 
 
 def _live(df: DataFrame) -> DataFrame:
@@ -186,8 +180,6 @@ def receipts_by_item(history: DataFrame) -> DataFrame:
     ))
 
 
-# Condition types summed per pricing item: output prefix -> condition type.
-CONDITION_TOTALS = {"clearance": "ZCB1", "discount": "ZDB3", "freight": "ZFB3"}
 
 
 def pricing_by_item(pricing: DataFrame) -> DataFrame:
@@ -298,7 +290,7 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
         F.col("gr_qty").alias("total_gr_qty"),
         F.col("p_po_actual_value").alias("total_po_actual_value"),
         to_local("p_po_actual_value", "d_exchangerate").alias("total_po_actual_value_thb"),
-        substr_from("d_supplier", 3).alias("supplier"),
+        substr_from("d_supplier", SUPPLIER_FROM).alias("supplier"),
         F.col("d_suppliername").alias("suppliername"),
         F.col("d_paymentterms").alias("paymentterms"),
         "iscompletelydelivered",

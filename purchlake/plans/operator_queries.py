@@ -543,7 +543,7 @@ def coalesce_default_q(spark, sf):
   changesequence, CASE conditiontype WHEN 'ZFB3' THEN 'Freight' WHEN 'ZCB1' THEN 'Clearance'
   WHEN 'ZDB3' THEN 'Discount' END AS condition_description FROM f_pricing""", "f_pricing"))
 def case_label(spark, sf):
-    from .silver import CONDITION_LABELS
+    from ..fixed import CONDITION_LABELS
     f = FEEDS["zipricingelement"](T(spark, sf))
     return f.select("pricingdocument", "pricingdocumentitem", "pricingprocedurestep", "pricingprocedurecounter",
                     "changesequence", label("conditiontype", CONDITION_LABELS).alias("condition_description"))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import concat_strict, ntz, label, null_or_empty_flag, parse_compact_date, parse_compact_ts, substr_from
+from ..fixed import CONDITION_LABELS, EA_UNIT, FINAL_APPROVAL_CODE, KG_UNIT, PRICING_ITEM_FROM
 from ..operators.conform import Field, conform
 from ..operators.dedup import latest_per_key
 from ..operators.enrich import lookup
@@ -32,9 +33,6 @@ ENVELOPE = ["ingestiontime", "isupsert", "isdelete", "isinsert", "changetype"]
 AUDIT = "last_modified_dt"
 STR, D2, D3, D4 = "string", "decimal(18,2)", "decimal(18,3)", "decimal(18,4)"
 
-# Fixed condition labels of the pricing silver.
-CONDITION_LABELS = {"ZFB3": "Freight", "ZCB1": "Clearance", "ZDB3": "Discount"}
-FINAL_APPROVAL_CODE = "00"
 
 
 @dataclass
@@ -117,10 +115,10 @@ def _enrich_po_item(df: DataFrame, lk) -> DataFrame:
                 {"u_num": "quantitynumerator", "u_den": "quantitydenominator"})
     df = lookup(df, uom, [("pr_product", "product")],
                 {"kg_num": "quantitynumerator", "kg_den": "quantitydenominator"},
-                where=F.col("alternativeunit") == "KG")
+                where=F.col("alternativeunit") == KG_UNIT)
     df = lookup(df, uom, [("pr_product", "product")],
                 {"ea_num": "quantitynumerator", "ea_den": "quantitydenominator"},
-                where=F.col("alternativeunit") == "EA")
+                where=F.col("alternativeunit") == EA_UNIT)
     df = lookup(df, lk.ziprdplant, [("material", "product"), ("plant", "plant")],
                 {"p_safetystock": "safetystockquantity"})
     df = lookup(df, lk.ziproductgrp, [("materialgroup", "materialgroup")],
@@ -210,7 +208,7 @@ def build_specs() -> dict[str, SilverSpec]:
 
     PRICING = _fields([
         ("pricingdocument", STR),
-        ("pricingdocumentitem", None, substr_from(F.col("pricingdocumentitem").cast(STR), 2)),
+        ("pricingdocumentitem", None, substr_from(F.col("pricingdocumentitem").cast(STR), PRICING_ITEM_FROM)),
         ("pricingprocedurestep", STR), ("pricingprocedurecounter", STR), ("conditiontype", STR),
         ("condition_description", None, label("conditiontype", CONDITION_LABELS)),
         ("pricingdatetime", None, parse_compact_ts("pricingdatetime")),
