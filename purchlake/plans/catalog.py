@@ -108,6 +108,15 @@ def mart_po_history_incremental(spark, sf_dir):
     return _no_audit(gold.mart_po_history(history, items, headers, target=target))
 
 
+def mart_info_record_incremental(spark, sf_dir):
+    """Second run of the info-record mart: its mark is the max ingestion time
+    of the *info records* it stores, applied to the items (two clocks, Q4)."""
+    c = Ctx(spark, sf_dir)
+    items, info, headers = c.items(), c.info(), c.headers()
+    target = gold.mart_info_record(items.where(F.col("ingestiontime") < ntz(INCREMENT_CUT)), info, headers)
+    return _no_audit(gold.mart_info_record(items, info, headers, target=target))
+
+
 PIPELINES: dict[str, tuple[Query, str]] = {
     "silver_goods_movement": (_silver_query("silver_mm_zigoodsmvmtdoc"), oracle.table("s_goods")),
     "silver_info_record": (_silver_query("silver_mm_ziinforecorgdata"), oracle.table("s_info")),
@@ -128,4 +137,5 @@ PIPELINES: dict[str, tuple[Query, str]] = {
     "mart_last_price": (mart_last_price, oracle.table("g_last_price")),
     "silver_po_item_incremental": (silver_po_item_incremental, oracle.table("s_item_inc")),
     "mart_po_history_incremental": (mart_po_history_incremental, oracle.table("g_po_history_inc")),
+    "mart_info_record_incremental": (mart_info_record_incremental, oracle.table("g_info_record_inc")),
 }
