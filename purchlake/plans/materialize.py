@@ -7,8 +7,10 @@ executor re-reads files instead of re-running the feed dedup), lets
 column pruning and filter pushdown reach the silver scan, and stops a mart
 that uses one silver table twice from computing it twice.
 
-The path is keyed by the input directory, the table name and a digest of
-the code that defines it, so a changed definition never reads stale files.
+The path is keyed by the input directory, a fingerprint of its files (names,
+sizes, modification times, when it is a local path), the table name and a
+digest of the code that defines it, so neither changed inputs nor a changed
+definition can be served stale files.
 """
 
 from __future__ import annotations
@@ -35,8 +37,21 @@ def _code_digest() -> str:
     return h.hexdigest()[:12]
 
 
+def _input_fingerprint(path: str) -> str:
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if "://" in local or not os.path.isdir(local):
+        return ""
+    h = hashlib.sha1()
+    for root, _, files in sorted(os.walk(local)):
+        for f in sorted(files):
+            st = os.stat(os.path.join(root, f))
+            h.update(f"{os.path.relpath(os.path.join(root, f), local)}:{st.st_size}:{st.st_mtime_ns};".encode())
+    return h.hexdigest()[:12]
+
+
 def table_dir(spark: SparkSession, *parts: str) -> str:
-    key = hashlib.sha1("|".join([*parts, _code_digest()]).encode()).hexdigest()[:16]
+    """Folder of the table for ``parts`` = (input directory, table name)."""
+    key = hashlib.sha1("|".join([*parts, _input_fingerprint(parts[0]), _code_digest()]).encode()).hexdigest()[:16]
     return f"{checkpoint_dir(spark).rstrip('/')}/purchlake-tables/{parts[-1]}-{key}"
 
 
@@ -44,6 +59,7 @@ def materialized(spark: SparkSession, build: Callable[[], DataFrame], *parts: st
     """Read the table for ``parts`` if it was written, else build, write, read."""
     path = table_dir(spark, *parts)
     try:
+        spark.read.text(f"{path}/_SUCCESS")  # written only after the job commit
         return spark.read.parquet(path)
     except AnalysisException:
         pass
