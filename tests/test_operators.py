@@ -201,3 +201,25 @@ def test_partition_scoped_upsert_rewrites_only_touched_partitions(spark, scratch
     assert [os.path.getmtime(f) for f in before_b] == mtimes
     upsert_partitions(spark, path, batch, ["k"], "part")              # idempotent re-run
     assert {r.k: r.v for r in spark.read.parquet(path).collect()} == got
+
+
+def test_null_key_rows_spread_over_shuffle_partitions(spark):
+    """A third of the rows have a NULL key; with a sort-merge join they must not
+    all land in the one partition NULL hashes to."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    prev_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None).cast("string"))
+                                         .otherwise((F.col("id") % 50).cast("string")).alias("k"), "id")
+        dim = spark.range(50).select(F.col("id").cast("string").alias("k"), (F.col("id") * 10).alias("v"))
+        out = lookup(left, dim, [("k", "k")], {"v": "v"})
+        assert "SortMergeJoin" in out._jdf.queryExecution().executedPlan().toString()
+        parts = (out.where(F.col("k").isNull()).select(F.spark_partition_id().alias("p")).distinct().count())
+        assert parts > 1
+        assert out.where(F.col("k").isNull() & F.col("v").isNotNull()).count() == 0
+        assert out.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.enabled", prev_aqe)
