@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +47,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column and the offsets of its rows; null counts as empty."""
+    column = column.fill_null("").cast(pa.large_string())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), ends
+
+
+def by_bytes(ends: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Row ranges [a, b) of about ``limit`` bytes each; a longer row stands alone."""
+    a, n = 0, len(ends) - 1
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + limit, "right")) - 1)
+        yield a, b
+        a = b
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values evenly (the finaliser of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import content_sort_dedup, reshard
+from . import content_sort_dedup, language_bits, license_rules, pii_anchors, reshard
 
 QUERIES = {
+    "op2_license_rules": (license_rules.query, None),
+    "op6_language_bits": (language_bits.query, None),
+    "op7_pii_anchors": (pii_anchors.query, None),
     "op8_min_cost_reshard": (reshard.query, None),
     "op10_content_sort_dedup": (content_sort_dedup.query, content_sort_dedup.SQL),
 }
