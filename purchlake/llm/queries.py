@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import content_sort_dedup, language_bits, license_rules, pii_anchors, reshard
+from . import content_sort_dedup, genetic_packing, language_bits, license_rules, pii_anchors, reshard
 
 QUERIES = {
+    "op1_genetic_packing": (genetic_packing.query, None),
     "op2_license_rules": (license_rules.query, None),
     "op6_language_bits": (language_bits.query, None),
     "op7_pii_anchors": (pii_anchors.query, None),
