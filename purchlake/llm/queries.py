@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import content_sort_dedup, genetic_packing, language_bits, license_rules, pii_anchors, reshard, temperature_mixing
+from . import (content_sort_dedup, genetic_packing, language_bits, license_rules, ngram_join, pii_anchors, reshard,
+               temperature_mixing)
 
 QUERIES = {
     "op1_genetic_packing": (genetic_packing.query, None),
     "op2_license_rules": (license_rules.query, None),
     "op3_temperature_mixing": (temperature_mixing.query, None),
+    "op5_ngram_jaccard_join": (ngram_join.query, None),
     "op6_language_bits": (language_bits.query, None),
     "op7_pii_anchors": (pii_anchors.query, None),
     "op8_min_cost_reshard": (reshard.query, None),
