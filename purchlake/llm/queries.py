@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from . import (content_sort_dedup, genetic_packing, language_bits, license_rules, ngram_join, pii_anchors, reshard,
-               temperature_mixing)
+               suffix_dedup, temperature_mixing)
 
 QUERIES = {
     "op1_genetic_packing": (genetic_packing.query, None),
     "op2_license_rules": (license_rules.query, None),
     "op3_temperature_mixing": (temperature_mixing.query, None),
+    "op4_suffix_dedup": (suffix_dedup.query, None),
     "op5_ngram_jaccard_join": (ngram_join.query, None),
     "op6_language_bits": (language_bits.query, None),
     "op7_pii_anchors": (pii_anchors.query, None),
