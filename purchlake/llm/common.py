@@ -24,6 +24,9 @@ def ship(module: str) -> None:
 
 ship(__name__)
 
+#: Odd multipliers, so that they have inverses modulo 2^64.
+BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
@@ -57,7 +60,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), ends
 
 
-def by_bytes(ends: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def by_bytes(ends: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges [a, b) of about ``limit`` bytes each; a longer row stands alone."""
     a, n = 0, len(ends) - 1
     while a < n:
@@ -71,3 +74,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+class Polynomial:
+    """Prefix hashes of a byte string: any substring's hash in constant time, free of its place."""
+
+    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __init__(self, data: np.ndarray, base: int = BASE):
+        n = len(data)
+        up, down = self._powers.get(base, (np.empty(0, np.uint64), np.empty(0, np.uint64)))
+        if len(up) <= n:
+            up, down = (np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n, b, np.uint64))))
+                        for b in (base, pow(base, -1, 1 << 64)))
+            self._powers[base] = up, down
+        self.down = down
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=self.sums[1:])
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.sums[b] - self.sums[a]) * self.down[a]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (content_sort_dedup, genetic_packing, language_bits, license_rules, ngram_join, pii_anchors, reshard,
-               suffix_dedup, temperature_mixing)
+               small_world, suffix_dedup, temperature_mixing)
 
 QUERIES = {
     "op1_genetic_packing": (genetic_packing.query, None),
@@ -14,5 +14,6 @@ QUERIES = {
     "op6_language_bits": (language_bits.query, None),
     "op7_pii_anchors": (pii_anchors.query, None),
     "op8_min_cost_reshard": (reshard.query, None),
+    "op9_small_world": (small_world.query, None),
     "op10_content_sort_dedup": (content_sort_dedup.query, content_sort_dedup.SQL),
 }

@@ -31,7 +31,6 @@ passages.  Empty tables give no rows.  Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, ship, shuffle_partitions, stored, table, utf8
+from .common import BASE, OTHER_BASE, Polynomial, mix64, ship, shuffle_partitions, stored, table, utf8
 
 ship(__name__)
 
@@ -51,36 +50,15 @@ CELL, PART = 43, 13
 #: Bits of a gram's place in a batch; the others are its hash.
 PLACE_BITS = 24
 #: Bytes worked on at once; longer texts are read in overlapping segments.
-SEGMENT = 1 << 22
+SEGMENT = 1 << 20
 #: Cells that a task packs at once.
 FLUSH = 1 << 20
 LOW_BITS = 48
-BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 U = np.uint64
 ITEM = np.dtype([("low", "<u8"), ("start", "<u4"), ("count", "u1"), ("offset", "u1"), ("check", "<u8")])
 RUN = np.dtype([("start", "<u4"), ("count", "u1")])
 
 
-class Polynomial:
-    """Prefix hashes of a byte string: any substring's hash in constant time, free of its place."""
-
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def __init__(self, data: np.ndarray, base: int = BASE):
-        n = len(data)
-        up, down = self._powers.get(base, (np.empty(0, U), np.empty(0, U)))
-        if len(up) <= n:
-            up, down = (np.multiply.accumulate(np.concatenate((np.ones(1, U), np.full(n, b, U))))
-                        for b in (base, pow(base, -1, 1 << 64)))
-            self._powers[base] = up, down
-        self.down = down
-        self.sums = np.zeros(n + 1, U)
-        np.cumsum((data.astype(U) + U(1)) * up[:n], out=self.sums[1:])
-
-    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (self.sums[b] - self.sums[a]) * self.down[a]
-
-
 def cells(data: np.ndarray, cut: np.ndarray) -> dict[str, np.ndarray]:
     """Cells of all windows in the segments data[cut[i]:cut[i+1]]; starts and ends count in ``data``.
 
@@ -222,18 +200,25 @@ def runs(key: np.ndarray, start: np.ndarray, count: np.ndarray) -> Iterator[tupl
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: runs of repeated windows, and cells that must be sorted (or serve others as partners)."""
-    got: dict[int, list] = defaultdict(list)
-    for batch in batches:
+    bucket, rows = None, []
+    for batch in batches:  # sorted by bucket
         ready: list[tuple] = []
-        for b, key, keys, counts, blob in zip(*(c.to_pylist() for c in batch.columns)):
-            if key is not None:
-                ready.append((key, blob, None))
+        for b, key, keys, counts, blob in zip(*batch.columns):
+            if b.as_py() != bucket:
+                yield from _settled(rows)
+                bucket, rows = b.as_py(), []
+            if key.is_valid:
+                ready.append((key.as_py(), blob.as_py(), None))
             else:
-                got[b].append((keys, counts, blob))
+                rows.append((keys.as_py(), counts.as_py(), blob.as_py()))
         if ready:
             yield _by_key(ready)
-    for b in list(got):
-        rows = got.pop(b)
+    yield from _settled(rows)
+
+
+def _settled(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """The cells of one bucket."""
+    if rows:
         key = np.concatenate([np.repeat(np.frombuffer(k, np.int64), np.frombuffer(n, np.uint32)) for k, n, _ in rows])
         items = np.concatenate([unpacked(r[2]) for r in rows])
         low = items["low"]
@@ -247,7 +232,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = order[np.lexsort((items["check"][order] >> U(1), low[order]))]
         key, items = key[order], items[order]
         if not len(key):
-            continue
+            return
         low, hull = items["low"], items["check"] >> U(1)
         new_core = np.ones(len(key), np.bool_)
         new_core[1:] = low[1:] != low[:-1]
@@ -456,7 +441,7 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     found = stored(docs.select("key", "text")
                    .mapInArrow(_deal(min(parts, 1 << 15)), "bucket int, key long, keys binary, counts binary, blob binary")
-                   .repartition(parts, "bucket").mapInArrow(_settle, "key long, runs binary, open binary"), "cells")
+                   .repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle, "key long, runs binary, open binary"), "cells")
     # a document's open cells; no more than its length allows
     unsure = stored(found.where("open is not null").groupBy("key").agg(F.collect_list("open").alias("open")), "open")
     sorted_ = (docs.select("key", "text").join(unsure, "key").mapInArrow(_open, SUFFIXES)
