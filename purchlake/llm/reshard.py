@@ -182,10 +182,9 @@ def _lookup(key: Column, values: dict[int, int]) -> Column:
     return F.element_at(pairs, key)
 
 
-def rewrite_shards(df: DataFrame, assigned: DataFrame, old_path: str, new_path: str, n_new: int,
-                   id_col: str = "doc_id") -> list[int]:
-    """Write ``shard=j`` folders under ``new_path`` for the shards whose rows change, and return
-    their numbers; a shard that keeps exactly its old rows stays where it is under ``old_path``.
+def rewrite_shards(df: DataFrame, assigned: DataFrame, path: str, n_new: int, id_col: str = "doc_id") -> list[int]:
+    """Write ``shard=j`` folders under ``path`` for the shards whose rows change, and return
+    their numbers; a shard that keeps exactly its old rows is not written again.
 
     ``assigned`` comes from ``assign_rows`` on ``df``; ids must be unique here."""
     counts = assigned.groupBy("old_shard", "shard").count().collect()  # old x new shards at most
@@ -194,7 +193,7 @@ def rewrite_shards(df: DataFrame, assigned: DataFrame, old_path: str, new_path:
     changed = [j for j in range(n_new) if j not in still]
     moved = assigned.where(F.col("shard").isin(changed)).select(id_col, "shard", "slot")
     (df.join(moved, id_col).repartition(F.col("shard"), F.floor(F.col("slot") / 100_000))
-     .sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(new_path))
+     .sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path))
     return changed
 
 

@@ -293,7 +293,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per shard, its index row and then the query rows: counts (a, null, n) and links (a, b, null)."""
-    world = None
+    world = shard = None
     forest: dict[int, int] = {}
     waiting: list[tuple[bytes, bytes]] = []
 
@@ -317,15 +317,16 @@ def _query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         col = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-        for i, kind in enumerate(col["kind"].to_pylist()):
+        for i, (of, kind) in enumerate(zip(col["shard"].to_pylist(), col["kind"].to_pylist())):
             if kind == 0:
                 yield from ask()
+                shard = of
                 ids = np.frombuffer(col["ids"][i].as_py(), np.int64)
                 weights = np.frombuffer(col["weights"][i].as_py(), np.int64)
                 exact = np.frombuffer(col["vectors"][i].as_py(), np.float64).reshape(len(ids), -1)
                 world = SmallWorld.load(exact.astype(np.float32), col["layers"][i].as_py())
                 beam = col["beam"][i].as_py()
-            else:
+            elif of == shard:  # else the shard is empty
                 waiting.append((col["ids"][i].as_py(), col["vectors"][i].as_py()))
                 if len(waiting) * BLOCK >= 2 * SIDE_BY_SIDE:
                     yield from ask()
