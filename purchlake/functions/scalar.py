@@ -33,10 +33,14 @@ def parse_compact_date(c: ColumnOrName, strict: bool = False) -> Column:
 
 
 def parse_compact_ts(c: ColumnOrName, strict: bool = False) -> Column:
-    """``yyyyMMddHHmmss`` string -> TIMESTAMP_NTZ (wall-clock, no zone)."""
+    """``yyyyMMddHHmmss`` string -> TIMESTAMP_NTZ.
+
+    The feeds give wall-clock times without a zone, so the value passes through
+    no zone: an hour that daylight saving skips in the session's zone is kept."""
     if strict:
         return F.to_timestamp_ntz(col(c), F.lit(COMPACT_TIMESTAMP))
-    return F.try_to_timestamp(col(c), F.lit(COMPACT_TIMESTAMP)).cast("timestamp_ntz")
+    text = F.regexp_replace(col(c), "^(....)(..)(..)(..)(..)(..)$", "$1-$2-$3 $4:$5:$6")
+    return F.when(col(c).rlike("^(?!0000)[0-9]{14}$"), text).try_cast("timestamp_ntz")
 
 
 def concat_strict(*cols: ColumnOrName) -> Column:

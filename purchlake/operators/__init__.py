@@ -1,4 +1,4 @@
-from .aggregate import conditional_sum, converted_sum, first_last, pivot_sums, signed_sum
+from .aggregate import conditional_sum, converted_sum, signed_sum
 from .checks import duplicate_keys, fan_out_report, uniqueness_check
 from .conform import Field, conform
 from .dedup import latest_per_key, preferred_match
@@ -7,7 +7,7 @@ from .incremental import high_water_mark, require_keys, since
 from .upsert import read_table, upsert_by_key, write_snapshot
 
 __all__ = [
-    "conditional_sum", "converted_sum", "first_last", "pivot_sums", "signed_sum", "duplicate_keys",
+    "conditional_sum", "converted_sum", "signed_sum", "duplicate_keys",
     "fan_out_report", "uniqueness_check", "Field", "conform", "latest_per_key", "preferred_match", "lookup",
     "high_water_mark", "require_keys", "since", "read_table", "upsert_by_key", "write_snapshot",
 ]

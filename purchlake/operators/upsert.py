@@ -5,22 +5,31 @@ plus ``batch``: a left-anti join and a union.  Both sides are shuffled once
 on the key (or the batch is broadcast when AQE measures it as small), and
 no row of the target is ever collected anywhere.
 
-Writes go to a new snapshot directory under the table path and a small
-pointer file names the current one, so a job that dies half way leaves the
-previous snapshot intact and a re-run is idempotent.
+A table is a folder of snapshots and numbered commits.  A write first puts
+down a whole snapshot, then one commit file that names the snapshot *and*
+its high-water mark; the commit appears at once, by a rename.  The commit
+with the highest number is the table.  A job that dies before its commit
+leaves the previous commit in force, and a re-run is idempotent.  A table
+counts as new only if its commit folder is proven absent: any other failure
+to read it is raised.
 """
 
 from __future__ import annotations
 
-import time
+import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-CURRENT = "_CURRENT"
-MARK = "_MARK"
+from ..sources import store
+
+COMMITS = "_commits"
+#: Commits whose snapshots stay readable; older ones are removed after a write.
+KEPT = 3
 
 
 def upsert_by_key(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
@@ -33,24 +42,21 @@ def upsert_by_key(target: DataFrame | None, batch: DataFrame, keys: Sequence[str
     delete_when: batch rows matching it remove the key instead of writing it.
     null_safe:   NULL key parts match each other (nullable key columns).
     """
+    drop = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
     if target is None:
-        out = batch
-    else:
-        b = batch
-        if version is not None:
-            # the target holds one row per key, so this join cannot multiply rows
-            tv = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col(version).alias("__tv"))
-            cond = _and([(F.col(k).eqNullSafe(F.col(f"__t_{k}")) if null_safe else F.col(k) == F.col(f"__t_{k}"))
-                         for k in keys])
-            b = (b.join(tv, cond, "left")
-                  .where(F.col("__tv").isNull() | (F.col(version) >= F.col("__tv")))
-                  .select(*batch.columns))
-        bk = b.select(*keys).distinct()
-        kept = target.join(bk, _eq(target, bk, keys, null_safe), "left_anti")
-        out = kept.unionByName(b.select(*target.columns))
-    if delete_when is not None:
-        out = out.where(~F.coalesce(delete_when, F.lit(False)))
-    return out
+        return batch.where(~drop)
+    b = batch
+    if version is not None:
+        # the target holds one row per key, so this join cannot multiply rows
+        tv = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col(version).alias("__tv"))
+        cond = _and([(F.col(k).eqNullSafe(F.col(f"__t_{k}")) if null_safe else F.col(k) == F.col(f"__t_{k}"))
+                     for k in keys])
+        b = (b.join(tv, cond, "left")
+              .where(F.col("__tv").isNull() | (F.col(version) >= F.col("__tv")))
+              .select(*batch.columns))
+    bk = b.select(*keys)
+    kept = target.join(bk, _eq(target, bk, keys, null_safe), "left_anti")
+    return kept.unionByName(b.where(~drop).select(*target.columns))
 
 
 def _and(conds: list[Column]) -> Column:
@@ -64,53 +70,75 @@ def _eq(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool)
     return _and([left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys])
 
 
-def current_snapshot(spark: SparkSession, table_path: str) -> str | None:
-    """Path of the live snapshot, or None for a table never written."""
-    try:
-        row = spark.read.text(f"{table_path}/{CURRENT}").first()
-    except Exception:  # no pointer yet
-        return None
-    return f"{table_path}/{row.value.strip()}" if row and row.value.strip() else None
+class Commit(NamedTuple):
+    number: int
+    snapshot: str
+    mark: dt.datetime | None
+
+
+def _commits(spark: SparkSession, table_path: str) -> list[str]:
+    folder = f"{table_path}/{COMMITS}"
+    if not store.exists(spark, folder):
+        return []
+    return [n for n in store.names(spark, folder) if n.endswith(".json") and not n.startswith(".")]
+
+
+def _read_commit(spark: SparkSession, table_path: str, name: str) -> Commit:
+    got = json.loads(store.read_text(spark, f"{table_path}/{COMMITS}/{name}"))
+    mark = got["mark"] and dt.datetime.fromisoformat(got["mark"])
+    return Commit(int(name.removesuffix(".json")), got["snapshot"], mark)
+
+
+def current_commit(spark: SparkSession, table_path: str) -> Commit | None:
+    """The commit in force, or None for a table never written."""
+    found = _commits(spark, table_path)
+    return _read_commit(spark, table_path, found[-1]) if found else None
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
-    snap = current_snapshot(spark, table_path)
-    return None if snap is None else spark.read.parquet(snap)
+    commit = current_commit(spark, table_path)
+    return None if commit is None else spark.read.parquet(f"{table_path}/{commit.snapshot}")
 
 
-def read_mark(spark: SparkSession, table_path: str):
-    """High-water mark stored with the table (its max ingestion time), or None."""
-    try:
-        row = spark.read.text(f"{table_path}/{MARK}").first()
-    except Exception:  # noqa: BLE001 - no mark stored
-        return None
-    if not row or not row.value.strip():
-        return None
-    import datetime as dt
-    return dt.datetime.fromisoformat(row.value.strip())
+def read_mark(spark: SparkSession, table_path: str) -> dt.datetime | None:
+    """High-water mark committed with the table, or None."""
+    commit = current_commit(spark, table_path)
+    return commit and commit.mark
 
 
-def write_snapshot(df: DataFrame, table_path: str, partition_by: Sequence[str] = (), mark=None) -> str:
-    """Write ``df`` as a new snapshot, then switch the pointer to it.
+def write_snapshot(df: DataFrame, table_path: str, partition_by: Sequence[str] = (),
+                   mark_col: str | None = None) -> str:
+    """Write ``df`` as a new snapshot, then commit it.
 
-    Paths go through Spark's own writers, so any Hadoop-compatible shared
-    store works; the pointer is switched only after the data commit.
-    ``mark`` (the snapshot's max ingestion time) is stored next to it, so the
-    next incremental run needs no scan of the table to find its mark."""
+    mark_col: its maximum, observed while the snapshot is written, is
+    committed as the high-water mark, so the next incremental run needs no
+    scan of the table to find it.  A commit of the same number by another
+    writer makes this one fail, and nothing changes."""
     spark = df.sparkSession
-    name = f"snap-{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
-    w = df.write.mode("errorifexists")
+    before = current_commit(spark, table_path)
+    number = before.number + 1 if before else 1
+    name = f"snap-{number:012d}-{uuid.uuid4().hex[:8]}"
+    seen = Observation()
+    out = df.observe(seen, F.max(mark_col).alias("mark")) if mark_col else df
+    w = out.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{table_path}/{name}")
-    if mark is not None:
-        spark.createDataFrame([(mark.isoformat(),)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{table_path}/{MARK}")
-    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{table_path}/{CURRENT}")
+    mark = seen.get["mark"] if mark_col else None
+    store.create_text(spark, f"{table_path}/{COMMITS}/{number:012d}.json",
+                      json.dumps({"snapshot": name, "mark": mark and mark.isoformat()}))
+    _forget(spark, table_path)
     return f"{table_path}/{name}"
 
 
+def _forget(spark: SparkSession, table_path: str) -> None:
+    """Remove snapshots of commits beyond the last KEPT, commit file first."""
+    for name in _commits(spark, table_path)[:-KEPT]:
+        old = _read_commit(spark, table_path, name)
+        store.remove(spark, f"{table_path}/{COMMITS}/{name}")
+        store.remove(spark, f"{table_path}/{old.snapshot}")
+
+
 def upsert_partitions(spark: SparkSession, table_path: str, batch: DataFrame, keys: Sequence[str],
                       partition_col: str, version: str | None = None) -> None:
     """Upsert ``batch`` into a parquet table partitioned by ``partition_col``,
@@ -120,29 +148,36 @@ def upsert_partitions(spark: SparkSession, table_path: str, batch: DataFrame, ke
     key lands in the same partition), e.g. a document-number prefix, so
     recent changes concentrate in few partitions, or a hash bucket.
 
-    touched partitions -> read only those (semi-join lets partition pruning
-    skip the rest) -> merge -> checkpoint into the shared checkpoint folder
-    (cuts the lineage to the files about to be replaced) -> dynamic partition
-    overwrite.  Each key lives in one partition, so a failure part-way leaves
-    every key either old or new, and re-running the batch is idempotent.
+    touched partitions (one value each, so no more than the table has or
+    gets) -> read only those, by a partition filter -> merge -> checkpoint into
+    the shared checkpoint folder (cuts the lineage to the files about to be
+    replaced) -> dynamic partition overwrite.  Each key lives in one partition,
+    so a failure part-way leaves every key either old or new, and re-running
+    the batch is idempotent.
     """
-    try:
-        # the batch's schema also types the partition column: left to
-        # inference, a value such as '00000000' would come back as an integer
-        current = spark.read.schema(batch.schema).parquet(table_path)
-        current.columns  # noqa: B018 - resolves the path now
-        if not current.inputFiles():
-            current = None
-    except Exception:  # noqa: BLE001 - first write: the table does not exist yet
-        current = None
-    if current is None:
+    if not has_partitions(spark, table_path, partition_col):
         merged = batch
     else:
-        touched = batch.select(partition_col).distinct()
-        affected = current.join(touched, partition_col, "left_semi")
-        merged = upsert_by_key(affected, batch.select(*current.columns), keys, version=version)
         from ..session import checkpoint_dir
         checkpoint_dir(spark)  # the shared folder named by spark.checkpoint.dir
-        merged = merged.checkpoint(eager=True)
+        merged = upsert_by_key(affected_partitions(spark, table_path, batch, partition_col),
+                               batch, keys, version=version).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table_path))
+
+
+def has_partitions(spark: SparkSession, table_path: str, partition_col: str) -> bool:
+    """Whether the table was ever written: it is proven absent, or its top folder is listed."""
+    return store.exists(spark, table_path) and any(
+        n.startswith(f"{partition_col}=") for n in store.names(spark, table_path))
+
+
+def affected_partitions(spark: SparkSession, table_path: str, batch: DataFrame, partition_col: str) -> DataFrame:
+    """The rows of the table in partitions that ``batch`` touches; the scan is pruned to those."""
+    # the batch's schema also types the partition column: left to inference,
+    # a value such as '00000000' would come back as an integer
+    current = spark.read.schema(batch.schema).parquet(table_path)
+    touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+    part = F.col(partition_col)
+    keep = part.isin([v for v in touched if v is not None])
+    return current.where(keep | part.isNull() if None in touched else keep).select(*batch.columns)

@@ -7,61 +7,44 @@ executor re-reads files instead of re-running the feed dedup), lets
 column pruning and filter pushdown reach the silver scan, and stops a mart
 that uses one silver table twice from computing it twice.
 
-The path is keyed by the input directory, a fingerprint of its files (names,
-sizes, modification times, when it is a local path), the table name and a
-digest of the code that defines it, so neither changed inputs nor a changed
-definition can be served stale files.
+The path is keyed by the input directory, the names, sizes and modification
+times of its files (listed through the session's file system, whatever the
+scheme), the table name and a digest of the library's code.  Changed inputs or
+a changed definition thus get a table of their own; a table is read only if
+its write was committed.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import pathlib
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
+from ..sources import store
 
-_HERE = os.path.dirname(os.path.abspath(__file__))
-_DEFINING = [os.path.join(_HERE, "silver.py"), os.path.join(_HERE, "..", "sources", "feeds.py"),
-             os.path.join(_HERE, "..", "sources", "tables.py")]
+_PACKAGE = pathlib.Path(__file__).resolve().parents[1]
 
 
 def _code_digest() -> str:
     h = hashlib.sha1()
-    for p in _DEFINING:
-        with open(p, "rb") as fh:
-            h.update(fh.read())
-    return h.hexdigest()[:12]
+    for folder in ("functions", "operators", "plans", "sources", "."):
+        for p in sorted((_PACKAGE / folder).glob("*.py")):
+            h.update(p.read_bytes())
+    return h.hexdigest()
 
 
-def _input_fingerprint(path: str) -> str:
-    local = path[len("file:"):] if path.startswith("file:") else path
-    if "://" in local or not os.path.isdir(local):
-        return ""
-    h = hashlib.sha1()
-    for root, _, files in sorted(os.walk(local)):
-        for f in sorted(files):
-            st = os.stat(os.path.join(root, f))
-            h.update(f"{os.path.relpath(os.path.join(root, f), local)}:{st.st_size}:{st.st_mtime_ns};".encode())
-    return h.hexdigest()[:12]
-
-
-def table_dir(spark: SparkSession, *parts: str) -> str:
-    """Folder of the table for ``parts`` = (input directory, table name)."""
-    key = hashlib.sha1("|".join([*parts, _input_fingerprint(parts[0]), _code_digest()]).encode()).hexdigest()[:16]
-    return f"{checkpoint_dir(spark).rstrip('/')}/purchlake-tables/{parts[-1]}-{key}"
+def table_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of the table ``name`` for the inputs as they are now."""
+    key = hashlib.sha1(repr((sf_dir, name, store.files(spark, sf_dir), _code_digest())).encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(spark).rstrip('/')}/purchlake-tables/{name}-{key}"
 
 
-def materialized(spark: SparkSession, build: Callable[[], DataFrame], *parts: str) -> DataFrame:
-    """Read the table for ``parts`` if it was written, else build, write, read."""
-    path = table_dir(spark, *parts)
-    try:
-        spark.read.text(f"{path}/_SUCCESS")  # written only after the job commit
-        return spark.read.parquet(path)
-    except AnalysisException:
-        pass
-    build().write.mode("overwrite").parquet(path)
+def materialized(spark: SparkSession, build: Callable[[], DataFrame], sf_dir: str, name: str) -> DataFrame:
+    """Read the table if it was written, else build, write, read."""
+    path = table_dir(spark, sf_dir, name)
+    if not store.exists(spark, f"{path}/_SUCCESS"):  # written only after the job commit
+        build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

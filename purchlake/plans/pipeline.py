@@ -14,7 +14,6 @@ after a failure resumes from the last committed snapshots and is idempotent.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.upsert import read_table, upsert_by_key, write_snapshot
 from ..sources import FEEDS, Lookups, Tables
@@ -40,7 +39,7 @@ def _upsert_mart(spark: SparkSession, path: str, build) -> str:
     increment = build(target)
     name = path.rstrip("/").rsplit("/", 1)[-1]
     merged = upsert_by_key(target, increment, MART_KEYS[name]) if target is not None else increment
-    return write_snapshot(merged, path, mark=None)
+    return write_snapshot(merged, path)
 
 
 def load_all(spark: SparkSession, sf_dir: str, table_root: str) -> dict[str, str]:
@@ -69,7 +68,3 @@ def load_all(spark: SparkSession, sf_dir: str, table_root: str) -> dict[str, str
     out["mart_mm_matlastprice"] = write_snapshot(gold.mart_last_price(items, headers),
                                                  f"{root}/mart_mm_matlastprice")
     return out
-
-
-def table_counts(spark: SparkSession, table_root: str, names) -> dict[str, int]:
-    return {n: read_table(spark, f"{table_root.rstrip('/')}/{n}").agg(F.count(F.lit(1))).first()[0] for n in names}

@@ -89,7 +89,9 @@ def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | Non
     if initial:
         df = feed
     elif mark is not None or target is None:
-        df = feed.filter(F.col("ingestiontime") >= ntz(mark or floor) - F.expr(f"INTERVAL {lookback}"))
+        zoned = feed.schema["ingestiontime"].dataType.simpleString() == "timestamp"
+        at = F.lit(mark or floor) if zoned else ntz(mark or floor)  # in the column's own type
+        df = feed.filter(F.col("ingestiontime") >= at - F.expr(f"INTERVAL {lookback}"))
     else:
         df = since(feed, target, lookback=lookback, floor=floor, mode=hwm_mode)
     df = require_keys(df, spec.guards)
@@ -146,7 +148,7 @@ def build_specs() -> dict[str, SilverSpec]:
         ("materialdocumentyear", STR), ("materialdocument", STR), ("materialdocumentitem", STR),
         ("plant", STR), ("storagelocation", STR), ("material", STR), ("batch", STR),
         ("materialbaseunit", STR), ("entryunit", STR),
-        ("postingdate", None, parse_compact_date("postingdate")),
+        ("postingdate", None, lambda strict: parse_compact_date("postingdate", strict)),
         ("purchaseorder", STR), ("purchaseorderitem", STR), ("manufacturingorder", STR),
         ("manufacturingorderitem", STR), ("createdbyuser", STR), ("supplier", STR), ("customer", STR),
         ("referencedocument", STR), ("goodsmovementtype", STR), ("materialdocumentheadertext", STR),
@@ -158,19 +160,19 @@ def build_specs() -> dict[str, SilverSpec]:
     INFO_RECORD = _fields([
         ("purchasinginforecord", STR), ("purchasingorganization", STR), ("purchasinginforecordcategory", STR),
         ("plant", STR), ("materialplanneddeliverydurn", "double"),
-        ("pricevalidityenddate", None, parse_compact_date("pricevalidityenddate")),
+        ("pricevalidityenddate", None, lambda strict: parse_compact_date("pricevalidityenddate", strict)),
     ]) + _envelope()
 
     SCHEDULE_LINE = _fields([
         ("purchasingdocument", STR), ("purchasingdocumentitem", STR), ("scheduleline", STR),
-        ("schedulelinedeliverydate", None, parse_compact_date("schedulelinedeliverydate")),
+        ("schedulelinedeliverydate", None, lambda strict: parse_compact_date("schedulelinedeliverydate", strict)),
     ]) + _envelope()
 
     PO_HISTORY = _fields([
         ("purchasingdocument", STR), ("purchasingdocumentitem", STR), ("accountassignmentnumber", STR),
         ("purchasinghistorydocumenttype", STR), ("purchasinghistorydocumentyear", STR),
         ("purchasinghistorydocument", STR), ("purchasinghistorydocumentitem", STR), ("goodsmovementtype", STR),
-        ("postingdate", None, parse_compact_date("postingdate")),
+        ("postingdate", None, lambda strict: parse_compact_date("postingdate", strict)),
         ("quantity", D3), ("debitcreditcode", STR), ("purordamountincompanycodecrcy", D2),
         ("purchaseorderamount", D2),
     ]) + _envelope()
@@ -192,18 +194,18 @@ def build_specs() -> dict[str, SilverSpec]:
 
     PO_APPROVAL = _fields([
         ("purchasingdocument", STR),
-        ("approvedate", None, parse_compact_date("approvedate")),
+        ("approvedate", None, lambda strict: parse_compact_date("approvedate", strict)),
         ("approvetime", STR),
-        ("approve_dt", None, parse_compact_ts(concat_strict("approvedate", "approvetime"))),
+        ("approve_dt", None, lambda strict: parse_compact_ts(concat_strict("approvedate", "approvetime"), strict)),
         ("approvercode", STR), ("approveusername", STR), ("approverdescription", STR),
         ("approverfullname", STR, "u_fullname"), ("isapprove", STR),
     ]) + _envelope()
 
     PR_APPROVAL = _fields([
         ("tabkey", STR), ("purchasereqnitemuniqueid", STR),
-        ("updatedate", None, parse_compact_date("updatedate")),
+        ("updatedate", None, lambda strict: parse_compact_date("updatedate", strict)),
         ("updatetime", STR),
-        ("update_dt", None, parse_compact_ts(concat_strict("updatedate", "updatetime"))),
+        ("update_dt", None, lambda strict: parse_compact_ts(concat_strict("updatedate", "updatetime"), strict)),
     ]) + _envelope()
 
     PRICING = _fields([
@@ -211,7 +213,7 @@ def build_specs() -> dict[str, SilverSpec]:
         ("pricingdocumentitem", None, substr_from(F.col("pricingdocumentitem").cast(STR), PRICING_ITEM_FROM)),
         ("pricingprocedurestep", STR), ("pricingprocedurecounter", STR), ("conditiontype", STR),
         ("condition_description", None, label("conditiontype", CONDITION_LABELS)),
-        ("pricingdatetime", None, parse_compact_ts("pricingdatetime")),
+        ("pricingdatetime", None, lambda strict: parse_compact_ts("pricingdatetime", strict)),
         ("conditioncalculationtype", STR), ("conditionamount", D3), ("transactioncurrency", STR),
         ("conditioninactivereason", STR), ("conditioncurrency", STR), ("conditionratevalue", D3),
         ("pricedetnexchangerate", D4, "PriceDetnExchangeRate"),
@@ -226,10 +228,10 @@ def build_specs() -> dict[str, SilverSpec]:
         ("purchasingdocument", STR), ("purchasingdocumentcategory", STR), ("purchasingdocumenttype", STR),
         ("releasecode", STR), ("supplier", STR), ("suppliername", STR, "s_name"), ("purchasinggroup", STR),
         ("purchasinggroupname", STR, "g_name"), ("documentcurrency", STR), ("exchangerate", D4),
-        ("purchasingdocumentorderdate", None, parse_compact_date("purchasingdocumentorderdate")),
+        ("purchasingdocumentorderdate", None, lambda strict: parse_compact_date("purchasingdocumentorderdate", strict)),
         ("paymentterms", STR), ("incotermsclassification", STR), ("purchasingdocumentcondition", STR),
         ("purgreleasetimetotalamount", D2),
-        ("creationdate", None, parse_compact_date("creationdate")),
+        ("creationdate", None, lambda strict: parse_compact_date("creationdate", strict)),
     ]) + _envelope()
 
 

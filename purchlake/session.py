@@ -6,9 +6,6 @@ sizing (executors, memory) belongs to the launcher.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Confs the library relies on.  AQE re-plans joins from runtime sizes: a
@@ -43,18 +40,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, durable
-    location there).  Only when it is unset -- local runs and tests -- a
-    scratch folder is created and registered.
+    location there).  Where it is unset, a local master gets a folder of its
+    own, as driver and executors are one process on one machine; on a cluster
+    that is an error, because executors would not see each other's files.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        sc = None
-    if not path and sc is not None:
-        path = sc.getCheckpointDir()
+    sc = spark.sparkContext
+    path = path or sc.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="purchlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if sc is not None and sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        local = spark.conf.get("spark.local.dir", "/tmp").split(",")[0]
+        path = f"file://{local}/purchlake-{sc.applicationId}"
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

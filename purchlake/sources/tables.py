@@ -9,33 +9,22 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 # Fact tables whose rows feed per-row projections and windows.
 FACT_TABLES = {"lineitem", "orders", "events"}
+SCAN_PARTITIONS = "spark.purchlake.scanPartitions"
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the scan when it yields fewer partitions than the cluster
-    can run at once.
-
-    Spark splits parquet by row group; a file written as one big row group
-    becomes one busy task however many cores there are.  Large inputs have
-    far more splits than cores, so there this is a no-op and adds no
-    shuffle; it only fires for under-split inputs."""
-    try:  # partition count is a planning-time property; not exposed by Spark Connect
-        spark = df.sparkSession
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return df
-    return df.repartition(want) if splits < want else df
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; later projections and filters are pushed into it."""
+    """Parquet scan; later projections and filters are pushed into it.
+
+    Input layout belongs to whoever writes the files.  Only where the session
+    sets ``spark.purchlake.scanPartitions`` (say, a test machine with each
+    table in one row group) are fact tables dealt to that many partitions."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    return balanced(df) if name in FACT_TABLES else df
+    deal = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(deal)) if deal and name in FACT_TABLES else df
 
 
 class Tables:

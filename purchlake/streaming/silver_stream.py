@@ -7,9 +7,14 @@ silver spec to that batch and upserts the result into the silver table:
 
     readStream(feed) -> foreachBatch:
         target  = current snapshot of the silver table
-        batch   = silver.run(spec, micro-batch, target)   # mark, guards, top-1, lookups, conform
-        merged  = upsert_by_key(target, batch, keys)
-        write merged as a new snapshot, then switch the pointer
+        batch   = silver.run(spec, micro-batch)           # guards, top-1, lookups, conform
+        merged  = upsert_by_key(target, batch, keys, version)
+        write merged as a new snapshot, then commit it
+
+The offsets decide what is new, so a stream slices by no high-water mark: a
+late file is merged like any other, and a row replaces the stored one only if
+its version (``ingestiontime``) is not older.  The order in which files arrive
+and the size of the micro-batches thus do not change the table.
 
 Re-running an epoch after a failure repeats the same upsert, which gives the
 same table (the merge is idempotent), so the sink is effectively exactly
@@ -19,14 +24,15 @@ placed under the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from pyspark.sql import functions as F
-
-from ..operators.upsert import read_mark, read_table, upsert_by_key, upsert_partitions, write_snapshot
+from ..operators.upsert import has_partitions, read_mark, read_table, upsert_by_key, upsert_partitions, write_snapshot
 from ..plans import silver
 from ..session import checkpoint_dir
+from ..sources import store
 
 
 def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame, table_path: str,
@@ -40,37 +46,33 @@ def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame,
     snapshot of the whole table."""
     if partition is not None:
         name, expr = partition
-        try:
-            target = spark.read.parquet(table_path)
-        except Exception:  # noqa: BLE001 - first batch
-            target = None
+        target = spark.read.parquet(table_path) if has_partitions(spark, table_path, name) else None
         fresh = silver.run(spec, batch, lookups, target=target, initial=not use_high_water_mark)
         upsert_partitions(spark, table_path, fresh.withColumn(name, expr), spec.keys, name, version=version)
         return table_path
     target = read_table(spark, table_path)
-    mark = read_mark(spark, table_path) if target is not None else None
     if use_high_water_mark:
-        # the stored mark spares a scan of the whole table for max(ingestiontime)
-        fresh = silver.run(spec, batch, lookups, target=target, mark=mark)
+        # the committed mark spares a scan of the whole table for max(ingestiontime)
+        mark = read_mark(spark, table_path)
+        fresh = silver.run(spec, batch, lookups, target=None if mark else target, mark=mark)
     else:
         fresh = silver.run(spec, batch, lookups, initial=True)
-    # the batch is small: keep it for the mark and the merge, do not recompute it
-    fresh = fresh.persist()
-    try:
-        batch_max = fresh.agg(F.max("ingestiontime")).first()[0]
-        if mark is None and target is not None:
-            mark = target.agg(F.max("ingestiontime")).first()[0]
-        marks = [m for m in (mark, batch_max) if m is not None]
-        merged = upsert_by_key(target, fresh, spec.keys, version=version)
-        return write_snapshot(merged, table_path, mark=max(marks) if marks else None)
-    finally:
-        fresh.unpersist()
+    if target is None:
+        return write_snapshot(fresh, table_path, mark_col="ingestiontime")
+    # the merge reads the batch twice, and a batch can be a whole feed: it is written, not cached
+    staged = f"{checkpoint_dir(spark).rstrip('/')}/batches/{spec.name}-{uuid.uuid4().hex[:12]}"
+    fresh.write.parquet(staged)
+    merged = upsert_by_key(target, spark.read.schema(fresh.schema).parquet(staged), spec.keys, version=version)
+    path = write_snapshot(merged, table_path, mark_col="ingestiontime")
+    store.remove(spark, staged)
+    return path
 
 
 def start(spark: SparkSession, spec: silver.SilverSpec, feed_path: str, table_path: str,
           lookups=None, checkpoint_location: str | None = None, available_now: bool = True,
           processing_time: str | None = None, max_files_per_trigger: int | None = None,
-          use_high_water_mark: bool = True, partition: tuple[str, Column] | None = None) -> StreamingQuery:
+          use_high_water_mark: bool = False, version: str | None = "ingestiontime",
+          partition: tuple[str, Column] | None = None) -> StreamingQuery:
     """Start the streaming load of one silver table from a parquet feed directory."""
     schema = spark.read.parquet(feed_path).schema
     reader = spark.readStream.schema(schema)
@@ -80,7 +82,7 @@ def start(spark: SparkSession, spec: silver.SilverSpec, feed_path: str, table_pa
     ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{spec.name}"
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(spark, spec, batch, table_path, lookups, use_high_water_mark, partition=partition)
+        merge_batch(spark, spec, batch, table_path, lookups, use_high_water_mark, version, partition)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     if available_now:
