@@ -117,6 +117,16 @@ def mart_info_record_incremental(spark, sf_dir):
     return _no_audit(gold.mart_info_record(items, info, headers, target=target))
 
 
+def mart_po_item_incremental(spark, sf_dir):
+    """Second run of the item mart; the latest price is taken over the slice only (Q5)."""
+    c = Ctx(spark, sf_dir)
+    items = c.items()
+    rest = [c.pr_items(), c.schedule(), c.po_approvals(), c.pr_approvals(), c.headers(), c.history(), c.pricing(),
+            c.lk.ziunitofmeasure]
+    target = gold.mart_po_item(items.where(F.col("ingestiontime") < ntz(INCREMENT_CUT)), *rest)
+    return _no_audit(gold.mart_po_item(items, *rest, target=target))
+
+
 PIPELINES: dict[str, tuple[Query, str]] = {
     "silver_goods_movement": (_silver_query("silver_mm_zigoodsmvmtdoc"), oracle.table("s_goods")),
     "silver_info_record": (_silver_query("silver_mm_ziinforecorgdata"), oracle.table("s_info")),
@@ -136,6 +146,7 @@ PIPELINES: dict[str, tuple[Query, str]] = {
     "mart_po_history": (mart_po_history, oracle.table("g_po_history")),
     "mart_last_price": (mart_last_price, oracle.table("g_last_price")),
     "silver_po_item_incremental": (silver_po_item_incremental, oracle.table("s_item_inc")),
+    "mart_po_item_incremental": (mart_po_item_incremental, oracle.table("g_po_item_inc")),
     "mart_po_history_incremental": (mart_po_history_incremental, oracle.table("g_po_history_inc")),
     "mart_info_record_incremental": (mart_info_record_incremental, oracle.table("g_info_record_inc")),
 }

@@ -235,16 +235,15 @@ def lookup_left(spark, sf):
                   {"productgroup": "productgroup", "baseunit": "baseunit"})
 
 
-@op("join_left_composite", """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, a.first_line_qty
+@op("join_left_composite", """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, a.pair_qty
 FROM lineitem l LEFT JOIN (SELECT l_partkey, l_suppkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,3))) AS DECIMAL(28,3))
-  AS first_line_qty FROM lineitem WHERE l_linenumber = 1 GROUP BY l_partkey, l_suppkey) a
+  AS pair_qty FROM lineitem GROUP BY l_partkey, l_suppkey) a
 ON l.l_partkey = a.l_partkey AND l.l_suppkey = a.l_suppkey""")
 def join_left_composite(spark, sf):
     li = T(spark, sf).lineitem
-    agg = (li.where(F.col("l_linenumber") == 1).groupBy("l_partkey", "l_suppkey")
-           .agg(F.sum(qty3()).alias("first_line_qty")))
+    agg = li.groupBy("l_partkey", "l_suppkey").agg(F.sum(qty3()).alias("pair_qty"))
     return lookup(li.select(*L_KEYS, "l_partkey", "l_suppkey"), agg,
-                  [("l_partkey", "l_partkey"), ("l_suppkey", "l_suppkey")], {"first_line_qty": "first_line_qty"})
+                  [("l_partkey", "l_partkey"), ("l_suppkey", "l_suppkey")], {"pair_qty": "pair_qty"})
 
 
 @op("join_left_right_pred", """SELECT o.o_orderkey, l.l_partkey, l.l_shipdate FROM orders o
@@ -335,13 +334,13 @@ def latest_price_lookup(spark, sf):
                i.ingestiontime DESC, i.purchasingorganization ASC NULLS FIRST,
                i.purchasinginforecordcategory ASC NULLS FIRST, i.plant ASC NULLS FIRST,
                i.changesequence DESC) AS rn
-  FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, {O.tag('I', 'l_partkey % 500')} AS inforecord,
+  FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, {O.tag('I', 'l_partkey - l_partkey % 4')} AS inforecord,
           {O.tag('P', 'l_suppkey % 5')} AS plant FROM lineitem) l
   LEFT JOIN (SELECT * FROM f_info WHERE isdelete = false) i ON i.purchasinginforecord = l.inforecord)
 WHERE rn = 1""", "f_info"))
 def preferred_match_query(spark, sf):
     t = T(spark, sf)
-    left = t.lineitem.select(*L_KEYS, tag("I", F.col("l_partkey") % 500).alias("inforecord"),
+    left = t.lineitem.select(*L_KEYS, tag("I", F.col("l_partkey") - F.col("l_partkey") % 4).alias("inforecord"),
                              tag("P", F.col("l_suppkey") % 5).alias("plant"))
     info = FEEDS["ziinforecorgdata"](t).where(F.col("isdelete") == F.lit(False))
     m = preferred_match(left, info, key=("inforecord", "purchasinginforecord"), attr=("plant", "plant"),
@@ -575,7 +574,7 @@ def decimal_arith(spark, sf):
 
 # ---------------------------------------------------------------- measures
 
-_NPQ = [0, None, 1, 2, 5, 10]
+_NPQ = [0, None, 3, 2, 7, 10]
 
 
 def _npq_sql() -> str:
@@ -583,7 +582,8 @@ def _npq_sql() -> str:
 
 
 @op("safe_ratio", f"""SELECT l_orderkey, l_linenumber, l_partkey,
-  {O.exact_ratio('CAST(l_extendedprice AS DECIMAL(18,2))', _npq_sql())} AS price_per_unit FROM lineitem""")
+  {O.exact_ratio('amount', 'per_qty', 4, 18, 2, 18, 3)} AS price_per_unit
+FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, {_npq_sql()} AS per_qty FROM lineitem)""")
 def safe_ratio_q(spark, sf):
     from ..sources.feeds import pick
     li = T(spark, sf).lineitem
@@ -620,7 +620,14 @@ recv AS (SELECT l_orderkey, l_linenumber, CAST(sum(CASE WHEN l_tax < CAST(0.06 A
 b AS (SELECT latest.*, recv.received FROM latest LEFT JOIN recv
   ON latest.l_orderkey = recv.l_orderkey AND latest.l_linenumber = recv.l_linenumber)"""
 _REST = ("CASE WHEN ordered - coalesce(received, 0) < 0 THEN 0 ELSE ordered - coalesce(received, 0) END")
-_UNIT3 = O.exact_ratio("amount", "per_qty", 3)
+_PRICE = O.quotient_scale(18, 2, 18, 3)
+# open quantity x unit price keeps 6 decimals, and so does that x rate
+_OPEN_SQL = f"""{_REMAIN_BASE_SQL},
+v AS (SELECT *, {O.whole(_REST, 3)} AS rest,
+  CASE WHEN per_qty <> 0 THEN {O.quotient('amount', 18, 2, 'per_qty', 18, 3)} END AS price,
+  {O.half_up('(rest * price)', f"{10 ** (_PRICE + 3 - 6)}::HUGEINT")} AS value6,
+  {O.half_up(f"(value6 * {O.whole('rate', 4)})", '10000::HUGEINT')} AS local6, delivered IS NOT DISTINCT FROM 'X' AS closed
+  FROM b)"""
 
 
 @op("remaining_qty", f"""{_REMAIN_BASE_SQL}
@@ -631,19 +638,16 @@ def remaining_qty_q(spark, sf):
     return b.select(*L_KEYS, remaining_qty("ordered", "received", "delivered").alias("open_qty"))
 
 
-@op("remaining_value", f"""{_REMAIN_BASE_SQL}
-SELECT l_orderkey, l_linenumber, CAST(CASE WHEN delivered = 'X' THEN 0
-  ELSE CAST({_REST} AS DECIMAL(38,3)) * {_UNIT3} END AS DECIMAL(18,3)) AS open_value FROM b""")
+@op("remaining_value", f"""{_OPEN_SQL}
+SELECT l_orderkey, l_linenumber, {O.shown('if(closed, 0::HUGEINT, value6)', 6, 3)} AS open_value FROM v""")
 def remaining_value_q(spark, sf):
     b = _remaining_base(spark, sf)
     return b.select(*L_KEYS, remaining_value("ordered", "received", "delivered", "amount", "per_qty")
                     .alias("open_value"))
 
 
-@op("remaining_value_local", f"""{_REMAIN_BASE_SQL}
-SELECT l_orderkey, l_linenumber, CAST(CASE WHEN delivered = 'X' THEN 0
-  ELSE CAST({_REST} AS DECIMAL(38,3)) * {_UNIT3} * CAST(rate AS DECIMAL(38,4)) END AS DECIMAL(18,4))
-  AS open_value_local FROM b""")
+@op("remaining_value_local", f"""{_OPEN_SQL}
+SELECT l_orderkey, l_linenumber, {O.shown('if(closed, 0::HUGEINT, local6)', 6, 4)} AS open_value_local FROM v""")
 def remaining_value_local_q(spark, sf):
     b = _remaining_base(spark, sf)
     return b.select(*L_KEYS, remaining_value("ordered", "received", "delivered", "amount", "per_qty", rate="rate",
@@ -682,33 +686,27 @@ def _uom_base(spark, sf) -> DataFrame:
 
 
 _ID = "purchasingdocument, purchasingdocumentitem, changesequence"
-_Q = "CAST(orderquantity AS DECIMAL(38,3))"
-_BOK = "num IS NOT NULL AND den IS NOT NULL AND den <> 0"
 
 
-def _r(n, d):
-    return f"CAST(CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) AS DECIMAL(38,6))"
-
-
-@op("uom_to_base", f"""WITH u AS ({_UOM_SQL})
-SELECT {_ID}, CAST(CASE WHEN {_BOK} THEN {_Q} * {_r('num', 'den')} END AS DECIMAL(18,3)) AS qty_base FROM u""")
+@op("uom_to_base", f"""WITH u AS ({_UOM_SQL}), c AS (SELECT *, {O.base6('orderquantity', 'num', 'den')} AS base6 FROM u)
+SELECT {_ID}, {O.shown('base6', 6, 3)} AS qty_base FROM c""")
 def uom_to_base_q(spark, sf):
     return _uom_base(spark, sf).select(*_ID.split(", "), uom_to_base("orderquantity", "num", "den").alias("qty_base"))
 
 
-@op("uom_to_kg", f"""WITH u AS ({_UOM_SQL})
-SELECT {_ID}, CAST(CASE WHEN {_BOK} AND kg_num IS NOT NULL AND kg_den IS NOT NULL AND kg_num <> 0
-    THEN {_Q} * {_r('num', 'den')} * {_r('kg_den', 'kg_num')}
-  WHEN orderquantityunit = 'G' THEN CAST(CAST(orderquantity AS DOUBLE) / 1000 AS DECIMAL(38,6))
-  END AS DECIMAL(18,3)) AS qty_kg FROM u""")
+@op("uom_to_kg", f"""WITH u AS ({_UOM_SQL}), c AS (SELECT *, {O.base6('orderquantity', 'num', 'den')} AS base6,
+  {O.target6('base6', 'kg_num', 'kg_den')} AS kg6 FROM u)
+SELECT {_ID}, if({O.no_target('num', 'den', 'kg_num', 'kg_den')},
+  CASE WHEN orderquantityunit = 'G' THEN {O.shown(O.whole('orderquantity', 3), 6, 3)} END, {O.shown('kg6', 6, 3)}) AS qty_kg
+FROM c""")
 def uom_to_kg_q(spark, sf):
     return _uom_base(spark, sf).select(*_ID.split(", "), uom_to_target(
         "orderquantity", "num", "den", "kg_num", "kg_den", fallback=("orderquantityunit", "G", 1000)).alias("qty_kg"))
 
 
-@op("uom_to_ea", f"""WITH u AS ({_UOM_SQL})
-SELECT {_ID}, CAST(CASE WHEN {_BOK} AND ea_num IS NOT NULL AND ea_den IS NOT NULL AND ea_num <> 0
-    THEN {_Q} * {_r('num', 'den')} * {_r('ea_den', 'ea_num')} END AS DECIMAL(18,3)) AS qty_ea FROM u""")
+@op("uom_to_ea", f"""WITH u AS ({_UOM_SQL}), c AS (SELECT *, {O.base6('orderquantity', 'num', 'den')} AS base6,
+  {O.target6('base6', 'ea_num', 'ea_den')} AS ea6 FROM u)
+SELECT {_ID}, {O.shown('ea6', 6, 3)} AS qty_ea FROM c""")
 def uom_to_ea_q(spark, sf):
     return _uom_base(spark, sf).select(*_ID.split(", "), uom_to_target(
         "orderquantity", "num", "den", "ea_num", "ea_den").alias("qty_ea"))

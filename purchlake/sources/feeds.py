@@ -99,7 +99,7 @@ def po_item_feed(t: Tables) -> DataFrame:
         tag("G", F.col("l_partkey") % 12).alias("materialgroup"),
         _unit(F.col("l_partkey")).alias("orderquantityunit"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("netpriceamount"),
-        pick(F.col("l_linenumber") % 6, [0, None, 1, 2, 5, 10]).cast("decimal(18,3)").alias("netpricequantity"),
+        pick(F.col("l_linenumber") % 6, [0, None, 3, 2, 7, 10]).cast("decimal(18,3)").alias("netpricequantity"),
         F.col("l_quantity").cast("decimal(18,3)").alias("orderquantity"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("netamount"),
         pick(F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "R", 1).otherwise(2),
@@ -108,7 +108,7 @@ def po_item_feed(t: Tables) -> DataFrame:
         F.when(F.col("l_suppkey") % 20 == 0, F.lit("L")).alias("purchasingdocumentdeletioncode"),
         doc(F.col("l_orderkey") + 1_000_000).alias("purchaserequisition"),
         pad(F.col("l_linenumber"), 5).alias("purchaserequisitionitem"),
-        tag("I", F.col("l_partkey") % 500).alias("purchasinginforecord"),
+        tag("I", F.col("l_partkey") - F.col("l_partkey") % 4).alias("purchasinginforecord"),
         F.when(F.col("l_tax") >= 0.04, F.lit("V7")).otherwise(F.lit("V0")).alias("taxcode"),
         *envelope(F.col("l_shipdate"), F.col("l_suppkey") % 25 == 3, _li_seq()),
     )
@@ -246,7 +246,7 @@ def info_record_feed(t: Tables) -> DataFrame:
     plant is NULL for a share of the rows (org-level records)."""
     li = t.lineitem
     return li.select(
-        tag("I", F.col("l_partkey") % 500).alias("purchasinginforecord"),
+        tag("I", F.col("l_partkey") - F.col("l_partkey") % 4).alias("purchasinginforecord"),
         tag("O", F.col("l_suppkey") % 2).alias("purchasingorganization"),
         F.when(F.col("l_linestatus") == "F", F.lit("0")).otherwise(F.lit("2")).alias("purchasinginforecordcategory"),
         F.when(F.col("l_suppkey") % 6 != 5, tag("P", F.col("l_suppkey") % 5)).alias("plant"),
@@ -317,9 +317,9 @@ def product_uom(t: Tables) -> DataFrame:
     return p.select(
         tag("M", F.col("p_partkey")).alias("product"),
         pick(F.col("u"), ["EA", "BOX", "G", "KG"]).alias("alternativeunit"),
-        pick((F.col("p_partkey") + F.col("u")) % 6, [1, 2, 5, 10, 0, None]).cast("decimal(18,3)")
+        pick((F.col("p_partkey") + F.col("u")) % 6, [1, 3, 5, 7, 0, None]).cast("decimal(18,3)")
          .alias("quantitynumerator"),
-        pick((F.col("p_partkey") * 7 + F.col("u")) % 5, [1, 2, 5, 10, 0]).cast("decimal(18,3)")
+        pick((F.col("p_partkey") * 7 + F.col("u")) % 5, [3, 2, 7, 10, 0]).cast("decimal(18,3)")
          .alias("quantitydenominator"),
     )
 
