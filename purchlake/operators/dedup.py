@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .enrich import split_key
+
 RN = "__rn"
 
 
@@ -42,7 +44,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
 def preferred_match(left: DataFrame, right: DataFrame, key: tuple[str, str],
                     attr: tuple[str, str], tie_breakers: Sequence[Column | str],
                     right_cols: Sequence[str], rename: dict[str, str] | None = None,
-                    prefix: str = "__pm_") -> DataFrame:
+                    prefix: str = "__pm_", split: int = 8) -> DataFrame:
     """Left-join each left row to its preferred right row.
 
     key  = (left key column, right key column): candidates share it.
@@ -57,7 +59,10 @@ def preferred_match(left: DataFrame, right: DataFrame, key: tuple[str, str],
     Equivalent to ``left LEFT JOIN right ON key`` ranked by
     (priority, tie_breakers) and filtered to rank 1, without materialising
     the candidate pairs: each of the three joins has at most one right row
-    per key, so a hot key cannot multiply rows."""
+    per key, so a hot key cannot multiply rows.  The reduced right sides arrive
+    partitioned by the key, which keeps adaptive execution from splitting a hot
+    key; ``split`` deals each key (and the NULL keys) of the left side to so
+    many partitions instead."""
     lk, rk = key
     la, ra = attr
     rename = rename or {}
@@ -78,10 +83,14 @@ def preferred_match(left: DataFrame, right: DataFrame, key: tuple[str, str],
         return df.select(*[F.col(c).alias(f"{prefix}{tag}_{c}") for c in keep])
 
     e, n, o = side(exact, "e"), side(nulls, "n"), side(other, "o")
-    out = (left
-           .join(e, (F.col(lk) == F.col(f"{prefix}e_{rk}")) & (F.col(la) == F.col(f"{prefix}e_{ra}")), "left")
-           .join(n, F.col(lk) == F.col(f"{prefix}n_{rk}"), "left")
-           .join(o, F.col(lk) == F.col(f"{prefix}o_{rk}"), "left"))
+    out = left
+    for tag, d in (("e", e), ("n", n), ("o", o)):
+        cond = F.col(lk) == F.col(f"{prefix}{tag}_{rk}")
+        if tag == "e":
+            cond = cond & (F.col(la) == F.col(f"{prefix}e_{ra}"))
+        if split > 1:
+            d, cond = split_key(left, d, cond, split, f"{prefix}{tag}_part", left.columns)
+        out = out.join(d, cond, "left")
     has_e = F.col(f"{prefix}e_{rk}").isNotNull()
     has_n = F.col(f"{prefix}n_{rk}").isNotNull()
     picked = [F.when(has_e, F.col(f"{prefix}e_{c}"))

@@ -42,10 +42,19 @@ def _row_salt(df: DataFrame, salt_cols: Sequence[str] | None = None) -> Column:
     return F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in names]).cast("string"))
 
 
+def split_key(df: DataFrame, dim: DataFrame, cond: Column, split: int, name: str,
+              salt_cols: Sequence[str] | None = None) -> tuple[DataFrame, Column]:
+    """``dim`` repeated ``split`` times under ``name``, and ``cond`` with the part that a row of ``df`` meets."""
+    names = salt_cols or [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in names]), F.lit(split)).cast("int")
+    return (dim.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(split - 1)))),
+            cond & (part == F.col(name)))
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]],
            cols: Mapping[str, str], where: Column | None = None, gate: Column | None = None,
            null_safe: bool = False, spread_null_keys: bool = True,
-           salt_cols: Sequence[str] | None = None) -> DataFrame:
+           salt_cols: Sequence[str] | None = None, split: int = 1) -> DataFrame:
     """``df LEFT JOIN dim ON df.l = dim.r [AND where(dim)] [AND gate(df)]``.
 
     on:        pairs (left column or expression, dimension column)
@@ -54,6 +63,10 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]]
                ``df``).  Give the same set to consecutive lookups on the same
                keys so the shuffle partitioning is reused between them; turn
                ``spread_null_keys`` off for keys that cannot be NULL.
+    split:     deal the rows of each key to so many shuffle partitions, and
+               repeat the dimension as often.  For dimensions that are a top-1
+               or an aggregate on the join key: those arrive partitioned by it,
+               so adaptive execution cannot split a hot key of ``df``.
     """
     tag = f"__lk{next(_tags)}_"
     d = dim if where is None else dim.where(where)
@@ -80,4 +93,7 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]]
         cond = c if cond is None else cond & c
     if gate is not None:
         cond = cond & gate
+    if split > 1:
+        d, cond = split_key(df, d, cond, split, tag + "part", salt_cols)
+        right_keys.append("part")
     return df.join(d, cond, "left").drop(*[tag + c for c in right_keys])

@@ -37,6 +37,8 @@ from ..operators.enrich import lookup
 from ..operators.incremental import DEFAULT_FLOOR, DEFAULT_LOOKBACK, since
 
 MART_AUDIT = "last_main_silver_modified_dt"
+#: Partitions that the rows of one (material, plant) are dealt to in the price lookup.
+HOT_SPLIT = 16
 ENVELOPE_OUT = ["ingestiontime", "isinsert", "isupsert", "isdelete", "changetype"]
 
 
@@ -248,7 +250,8 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
                                       "clearance_amount_thb", "discount_amount", "discount_amount_thb",
                                       "po_actual_value"]}, salt_cols=item_id)
     f = lookup(f, lm, [("material", "material"), ("plant", "plant")],
-               {"lm_price": "price_per_unit", "lm_date": "lm_date", "lm_doc": "lm_doc"}, salt_cols=item_id)
+               {"lm_price": "price_per_unit", "lm_date": "lm_date", "lm_doc": "lm_doc"}, salt_cols=item_id,
+               split=HOT_SPLIT)
     f = lookup(f, ar, [("pr_uid", "purchasereqnitemuniqueid")], {"ar_updatedate": "updatedate"},
                salt_cols=item_id)
     f = lookup(f, units, [("orderquantityunit", "unitofmeasure")], {"uom_p": "unitofmeasure_e"})

@@ -323,7 +323,7 @@ def latest_price_lookup(spark, sf):
                                                                      "l_shipdate", *L_KEYS),
                          ["l_partkey", "plant"], [F.desc("l_shipdate")], [F.desc("l_orderkey"), F.desc("l_linenumber")])
     return lookup(li.select(*L_KEYS, "l_partkey", "plant"), top, [("l_partkey", "l_partkey"), ("plant", "plant")],
-                  {"latest_price": "l_extendedprice"})
+                  {"latest_price": "l_extendedprice"}, split=16)
 
 
 @op("preferred_match", O.sql(f"""SELECT l_orderkey, l_linenumber, inforecord, info_plant, info_org FROM (
