@@ -109,22 +109,33 @@ def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | Non
 # ------------------------------------------------------------------ enrichments
 
 
+def units_per_product(uom: DataFrame) -> DataFrame:
+    """One row per product with its KG and EA factors as columns."""
+    def of(unit: str, part: str):
+        return F.max(F.when(F.col("alternativeunit") == unit, F.col(part)))
+    return uom.groupBy("product").agg(
+        of(KG_UNIT, "quantitynumerator").alias("kg_num"), of(KG_UNIT, "quantitydenominator").alias("kg_den"),
+        of(EA_UNIT, "quantitynumerator").alias("ea_num"), of(EA_UNIT, "quantitydenominator").alias("ea_den"))
+
+
 def _enrich_po_item(df: DataFrame, lk) -> DataFrame:
-    uom = lk.ziprduom
-    df = lookup(df, lk.ziproduct, [("material", "product")],
-                {"pr_product": "product", "pr_productgroup": "productgroup", "pr_baseunit": "baseunit"})
-    df = lookup(df, uom, [("pr_product", "product"), ("orderquantityunit", "alternativeunit")],
-                {"u_num": "quantitynumerator", "u_den": "quantitydenominator"})
-    df = lookup(df, uom, [("pr_product", "product")],
-                {"kg_num": "quantitynumerator", "kg_den": "quantitydenominator"},
-                where=F.col("alternativeunit") == KG_UNIT)
-    df = lookup(df, uom, [("pr_product", "product")],
-                {"ea_num": "quantitynumerator", "ea_den": "quantitydenominator"},
-                where=F.col("alternativeunit") == EA_UNIT)
+    """Master data of an item.  The factors to KG and EA join the product on the small
+    side, so the wide item rows move once per distinct key: product, unit, plant, group.
+    (product, alternativeunit) is unique in the unit table; a second row for a pair would be
+    a fault of the master data (see ``checks.duplicate_keys``)."""
+    item = ["purchasingdocument", "purchasingdocumentitem"]
+    factors = ["kg_num", "kg_den", "ea_num", "ea_den"]
+    product = lookup(lk.ziproduct, units_per_product(lk.ziprduom), [("product", "product")],
+                     {c: c for c in factors}, spread_null_keys=False)
+    df = lookup(df, product, [("material", "product")],
+                {"pr_product": "product", "pr_productgroup": "productgroup", "pr_baseunit": "baseunit",
+                 **{c: c for c in factors}}, salt_cols=item)
+    df = lookup(df, lk.ziprduom, [("pr_product", "product"), ("orderquantityunit", "alternativeunit")],
+                {"u_num": "quantitynumerator", "u_den": "quantitydenominator"}, salt_cols=item)
     df = lookup(df, lk.ziprdplant, [("material", "product"), ("plant", "plant")],
-                {"p_safetystock": "safetystockquantity"})
+                {"p_safetystock": "safetystockquantity"}, salt_cols=item)
     df = lookup(df, lk.ziproductgrp, [("materialgroup", "materialgroup")],
-                {"pgr_name": "materialgroupname"})
+                {"pgr_name": "materialgroupname"}, salt_cols=item)
     return df
 
 

@@ -36,3 +36,19 @@ def test_incremental_literal_mark_reaches_the_scan(spark, scratch):
     f = spark.read.parquet(f"{scratch}/feed")
     out = since(f, f, mode="literal")
     assert "PushedFilters: [IsNotNull(ingestiontime), GreaterThanOrEqual(ingestiontime" in plan(out)
+
+
+def test_item_rows_move_once_per_lookup_key(spark):
+    """Broadcast off: the latest-version window, then product, unit, plant and group, then DISTINCT."""
+    from purchlake.plans import silver
+    from purchlake.sources import FEEDS, Lookups, Tables
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = Tables(spark, "/root/testdata/sf0.001")
+        spec = silver.spec_for("silver_mm_zimmpurgdocitem")
+        plan = silver.run(spec, FEEDS[spec.feed](t), Lookups(spark, t))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    wide = [x for x in plan.split("\n") if "SortMergeJoin" in x and "LeftOuter" in x]
+    assert len(wide) == 5  # four on item rows, one between the product and its factors
