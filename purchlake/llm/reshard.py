@@ -88,6 +88,8 @@ def plan_rows(blocks: list[tuple[int, int, int, int]], n_new: int) -> dict[tuple
 
     blocks: (old shard, size class, rows, bytes).  Old shard i is the home of new shard i if i < n_new."""
     total = sum(b[2] for b in blocks)
+    if not total:
+        return {}
     base, spare = divmod(total, n_new)
     flow = Flow()
     home: dict[int, list[int]] = {}

@@ -284,3 +284,19 @@ def test_crc_is_of_little_endian_ids():
     ids = genetic_packing.Ids(genetic_packing.tokenizer_path())
     coded = ids.of("a b")
     assert zlib.crc32(coded) == zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids.tokenizer.encode("a b").ids))
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.integers(4, 60), st.integers(0, 10**6))
+def test_prefix_bound_keeps_linked_sets(n, seed):
+    """Shared prefix shingles plus what lies behind the prefixes is never less than the overlap needed."""
+    rng = random.Random(seed)
+    base = [rng.random() for _ in range(n)]
+    sets = [set(base), set(base)]
+    for s in sets:
+        s -= set(rng.sample(base, rng.randrange(n // 5 + 1)))
+        s |= {rng.random() for _ in range(rng.randrange(n // 6 + 1))}
+    a, b = sets
+    if a and b and 100 * len(a & b) >= 75 * len(a | b):
+        shared = set.intersection(*(set(sorted(s)[:len(s) - ngram_join.least(len(s)) + 1]) for s in sets))
+        assert len(shared) + ngram_join.least(max(len(a), len(b))) - 1 >= 75 * (len(a) + len(b)) / 175
