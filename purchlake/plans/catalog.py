@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ntz
-from ..sources import FEEDS, Lookups, Tables
+from ..sources import FEEDS, Lookups, Tables, store
 from . import gold, oracle, silver
 from .materialize import materialized
 
@@ -33,6 +33,7 @@ class Ctx:
         self.sf_dir = sf_dir
         self.t = Tables(spark, sf_dir)
         self.lk = Lookups(spark, self.t)
+        self.inputs: list | None = None
 
     def feed(self, name: str) -> DataFrame:
         return FEEDS[name](self.t)
@@ -43,7 +44,9 @@ class Ctx:
 
     def table(self, name: str) -> DataFrame:
         """Silver table as the marts read it: written once, then scanned."""
-        return materialized(self.spark, lambda: self.silver(name), self.sf_dir, name)
+        if self.inputs is None:  # one listing for all tables of a query
+            self.inputs = store.files(self.spark, self.sf_dir)
+        return materialized(self.spark, lambda: self.silver(name), self.sf_dir, name, self.inputs)
 
     def items(self): return self.table("silver_mm_zimmpurgdocitem")
     def headers(self): return self.table("silver_mm_zmmpurchasingdoc")

@@ -16,6 +16,7 @@ its write was committed.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import pathlib
 from collections.abc import Callable
@@ -28,6 +29,7 @@ from ..sources import store
 _PACKAGE = pathlib.Path(__file__).resolve().parents[1]
 
 
+@functools.cache
 def _code_digest() -> str:
     h = hashlib.sha1()
     for folder in ("functions", "operators", "plans", "sources", "."):
@@ -36,15 +38,17 @@ def _code_digest() -> str:
     return h.hexdigest()
 
 
-def table_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Folder of the table ``name`` for the inputs as they are now."""
-    key = hashlib.sha1(repr((sf_dir, name, store.files(spark, sf_dir), _code_digest())).encode()).hexdigest()[:16]
+def table_dir(spark: SparkSession, sf_dir: str, name: str, inputs: list | None = None) -> str:
+    """Folder of the table ``name`` for the inputs as they are now (or as listed in ``inputs``)."""
+    inputs = store.files(spark, sf_dir) if inputs is None else inputs
+    key = hashlib.sha1(repr((sf_dir, name, inputs, _code_digest())).encode()).hexdigest()[:16]
     return f"{checkpoint_dir(spark).rstrip('/')}/purchlake-tables/{name}-{key}"
 
 
-def materialized(spark: SparkSession, build: Callable[[], DataFrame], sf_dir: str, name: str) -> DataFrame:
+def materialized(spark: SparkSession, build: Callable[[], DataFrame], sf_dir: str, name: str,
+                 inputs: list | None = None) -> DataFrame:
     """Read the table if it was written, else build, write, read."""
-    path = table_dir(spark, sf_dir, name)
+    path = table_dir(spark, sf_dir, name, inputs)
     if not store.exists(spark, f"{path}/_SUCCESS"):  # written only after the job commit
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
