@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,19 @@ def ship(module: str) -> None:
 
 ship(__name__)
 
+BATCH_BYTES, BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 #: Odd multipliers, so that they have inverses modulo 2^64.
 BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch sent to Python: rows here are whole texts or large blobs, and
+    a worker holds a batch several times over.  A session's own setting is left as it is."""
+    if BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(BATCH_BYTES, str(BATCH_LIMIT))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
@@ -44,6 +54,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     once and kept compressed."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex[:12]}"
+    small_batches(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -52,6 +63,22 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task body that gives freed memory back to the system when it ends: idle
+    workers stay for later tasks and would keep it."""
+
+    def body(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return body
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; null counts as empty."""
     column = column.fill_null("").cast(pa.large_string())
@@ -60,7 +87,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), ends
 
 
-def by_bytes(ends: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def by_bytes(ends: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges [a, b) of about ``limit`` bytes each; a longer row stands alone."""
     a, n = 0, len(ends) - 1
     while a < n:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, stored, table, text_or_empty
+from .common import frugal, ship, stored, table, text_or_empty
 
 ship(__name__)
 
@@ -102,7 +102,7 @@ def _notes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def annotate_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row: id_col, keep_id, group_size, kept, text_sha256."""
     notes = stored(_content_sorted(df, text, id_col, []).select("id", "norm", "head", "len", "hash")
-                   .mapInArrow(_notes, NOTES), "copies")
+                   .mapInArrow(frugal(_notes), NOTES), "copies")
     edges = notes.where("edge and pos = 0").select("pid", "run", "edge_text", "keep_id", "group_size")
     # equal texts met in several partitions: at most a few rows for each partition
     joined = (edges.groupBy("edge_text")
@@ -163,7 +163,7 @@ def drop_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> Da
         for i, c in enumerate(df.columns)]).alias("row")
     heads = _content_sorted(df, f"`{text}`", f"`{id_col}`", [row]).select("row", "norm", "head", "len", "hash")
     schema = heads.select("row", "norm", F.lit(0).alias("pid"), F.lit(True).alias("edge")).schema
-    heads = stored(heads.mapInArrow(_heads, schema), "heads")
+    heads = stored(heads.mapInArrow(frugal(_heads), schema), "heads")
     edge = heads.where("edge")
     # of equal texts at partition ends, the lowest partition holds the smallest id
     first = edge.groupBy("norm").agg(F.min("pid").alias("pid"))

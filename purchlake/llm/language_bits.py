@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, mix64, ship, table, utf8
+from .common import by_bytes, frugal, mix64, ship, small_batches, table, utf8
 
 ship(__name__)
 
@@ -142,8 +142,9 @@ def probes(grams: np.ndarray) -> Iterator[np.ndarray]:
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter:
     """Fit on every row with a text and a label."""
+    small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = (rows.select(F.col(lang).cast("string"), F.lower(text)).mapInArrow(_count, "lang string, gram long, n long")
+    counts = (rows.select(F.col(lang).cast("string"), F.lower(text)).mapInArrow(frugal(_count), "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
               .where(F.col("n") >= LEAST))
     # at most languages x 2^24 short rows, in practice some ten thousand for each language
@@ -167,10 +168,12 @@ def predict(spark: SparkSession, model: Filter, text: Column) -> Column:
     """struct(lang, score) of a text."""
     sent = spark.sparkContext.broadcast((model.languages, model.slots, model.fill, model.fallback))
 
-    @F.pandas_udf("lang string, score double")
-    def decide(texts: pd.Series) -> pd.DataFrame:
-        names, scores = Filter(*sent.value).decide(pa.array(texts, pa.string(), from_pandas=True))
-        return pd.DataFrame({"lang": names, "score": scores})
+    small_batches(spark)
+
+    @F.arrow_udf("struct<lang: string, score: double>")
+    def decide(texts: pa.Array) -> pa.Array:
+        names, scores = Filter(*sent.value).decide(texts)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
 
     no_letter = F.coalesce(~text.rlike(r"\p{L}"), F.lit(True))
     none = F.struct(F.lit(UND).alias("lang"), F.lit(0.0).alias("score"))

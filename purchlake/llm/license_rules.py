@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import by_bytes, ship, table, utf8
+from .common import by_bytes, ship, small_batches, table, utf8
 
 ship(__name__)
 
@@ -191,6 +191,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row; see OUT.  Word positions count from 0."""
+    small_batches(df.sparkSession)
     return df.select(df[id_col].cast("long"), df[text].cast("string")).mapInArrow(_scan, OUT)
 
 

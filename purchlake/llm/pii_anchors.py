@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ship, table
+from .common import ship, small_batches, table
 
 ship(__name__)
 
@@ -160,6 +160,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_personal_data(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, a count per base kind, a digest of the base spans, all spans
     as kind:start:end (code points, end exclusive)."""
+    small_batches(df.sparkSession)
     return df.select(df[id_col].cast("long"), df[text].cast("string")).mapInArrow(_scan, OUT)
 
 

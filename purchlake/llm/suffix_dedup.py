@@ -38,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BASE, OTHER_BASE, Polynomial, mix64, ship, shuffle_partitions, stored, table, utf8
+from .common import (BASE, OTHER_BASE, Polynomial, frugal, mix64, ship, shuffle_partitions,
+                     small_batches, stored, table, utf8)
 
 ship(__name__)
 
@@ -436,16 +437,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    small_batches(df.sparkSession)
     parts = shuffle_partitions(df.sparkSession)
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text].cast("string").alias("text"))
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     found = stored(docs.select("key", "text")
-                   .mapInArrow(_deal(min(parts, 1 << 15)), "bucket int, key long, keys binary, counts binary, blob binary")
-                   .repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle, "key long, runs binary, open binary"), "cells")
+                   .mapInArrow(frugal(_deal(min(parts, 1 << 15))), "bucket int, key long, keys binary, counts binary, blob binary")
+                   .repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_settle), "key long, runs binary, open binary"), "cells")
     # a document's open cells; no more than its length allows
     unsure = stored(found.where("open is not null").groupBy("key").agg(F.collect_list("open").alias("open")), "open")
-    sorted_ = (docs.select("key", "text").join(unsure, "key").mapInArrow(_open, SUFFIXES)
-               .repartition(parts, "meet").mapInArrow(_sorted, "key long, runs binary, open binary"))
+    sorted_ = (docs.select("key", "text").join(unsure, "key").mapInArrow(frugal(_open), SUFFIXES)
+               .repartition(parts, "meet").mapInArrow(frugal(_sorted), "key long, runs binary, open binary"))
     done = stored(found.where("runs is not null").select("key", "runs").unionByName(sorted_.select("key", "runs"))
                   .groupBy("key").agg(F.collect_list("runs").alias("runs")), "runs")
     return docs.join(done, "key", "left").select("doc_id", "text", "runs").mapInArrow(
