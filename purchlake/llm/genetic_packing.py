@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, shuffle_partitions, stored, table
+from .common import frugal, ship, shuffle_partitions, small_batches, stored, table
 
 ship(__name__)
 
@@ -48,20 +48,30 @@ INJECTED = 0.3
 BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: The tokenizer never joins a non-blank to a blank after it, so these parts can be encoded alone.
 PARTS = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
-#: Parts whose ids a worker remembers, at most.
-REMEMBERED = 1_000_000
+CLOSERS = frozenset(",.;:!?")
+#: Parts whose ids a worker remembers in each of two generations, at most.
+REMEMBERED = 400_000
 
 
 class Ids(dict):
-    """Text part -> its ids as little-endian 32-bit numbers."""
+    """Text part -> its ids as little-endian 32-bit numbers.
+
+    When the younger generation is full it becomes the older one; parts met again move back."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+        ids = self.older.get(part)
+        if ids is None:
+            if len(part) > 2 and part[-1] in CLOSERS and part[-2].isalpha():
+                ids = self[part[:-1]] + self[part[-1]]  # letters and signs never share an id
+            else:
+                ids = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
         self[part] = ids
         return ids
@@ -81,6 +91,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 def pieces(df: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, text: str = "text",
            id_col: str = "doc_id") -> DataFrame:
     """The pieces of every row; ``tokenizer``: path of a tokenizer file that workers can read."""
+    small_batches(df.sparkSession)
     closing = array("I", [CLOSING_ID]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +111,7 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              names=[f.split()[0] for f in PIECES.split(", ")])
 
-    return df.select(df[id_col].cast("long"), df[text].cast("string")).mapInArrow(cut, PIECES)
+    return df.select(df[id_col].cast("long"), df[text].cast("string")).mapInArrow(frugal(cut), PIECES)
 
 
 class BestFit:
@@ -224,7 +235,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     state = (blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"),
                            F.col("members.length").cast("array<int>").alias("lengths"), F.array().cast("array<binary>").alias("population")))
     for r in range(ROUNDS):
-        state = state.repartition(n_parts, "block", "island").mapInPandas(islands(r), STATE)
+        state = state.repartition(n_parts, "block", "island").mapInPandas(frugal(islands(r)), STATE)
         if r + 1 < ROUNDS:
             # each island also gets the elite of the one before it
             state = (state.groupBy("block").agg(F.first("lengths").alias("lengths"), F.sort_array(
@@ -251,7 +262,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     winners = (state.groupBy("block").agg(F.first("lengths").alias("lengths"),
                                           F.collect_list(F.element_at("population", 1)).alias("candidates"))
-               .mapInPandas(elect, "block long, bins array<long>, offsets array<long>"))
+               .mapInPandas(frugal(elect), "block long, bins array<long>, offsets array<long>"))
     solved = (blocks.join(winners, "block")
               .select("block", F.explode(F.arrays_zip("members", "bins", "offsets")).alias("x"))
               .select(*[F.col(f"x.members.{c}").alias(c) for c in parts.columns],
