@@ -50,7 +50,7 @@ BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 PARTS = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
 CLOSERS = frozenset(",.;:!?")
 #: Parts whose ids a worker remembers in each of two generations, at most.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 class Ids(dict):
