@@ -14,12 +14,16 @@ repeated or plainly unique are settled by prefix polynomial hashes:
    the windows present cover.
 2. Cells are dealt by core hash.  A core met once settles its windows as
    unique; a hull met twice settles them as repeated.  Equal hulls within a
-   task are combined before the shuffle, so a hot passage sends little.
+   task are combined before the shuffle, and of a core with many hulls in a
+   task one cell is sent and the others are open at once, so a hot passage
+   sends little.
 3. Cells with a shared core but a hull of their own are where repeats begin or
-   end.  Their windows are dealt again by a core of 188 bytes and sorted as
+   end.  Their windows are dealt again by a core of 188 bytes, those of hot
+   cores one by one by the bytes around it too, so that a hot passage in many
+   surroundings meets nowhere as a whole.  Those that meet are sorted as
    suffixes: a merge sort whose comparisons find the common extension by
    binary search on prefix polynomial hashes, in logarithmic steps.  Equal
-   neighbours are verified by their bytes.
+   neighbours are verified by the bytes around the core.
 
 Task output travels as packed blobs, not as a row per cell.
 
@@ -38,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import (BASE, OTHER_BASE, Polynomial, frugal, mix64, ship, shuffle_partitions,
+from .common import (BASE, OTHER_BASE, Polynomial, by_bytes, frugal, mix64, ship, shuffle_partitions,
                      small_batches, stored, table, utf8)
 
 ship(__name__)
@@ -54,10 +58,16 @@ PLACE_BITS = 24
 SEGMENT = 1 << 20
 #: Cells that a task packs at once.
 FLUSH = 1 << 20
+#: A core with so many hulls in one task is hot: its cells go on without meeting there, and its windows are dealt one by one.
+HOT = 32
 LOW_BITS = 48
 U = np.uint64
 ITEM = np.dtype([("low", "<u8"), ("start", "<u4"), ("count", "u1"), ("offset", "u1"), ("check", "<u8")])
 RUN = np.dtype([("start", "<u4"), ("count", "u1")])
+#: Windows of a part, ``count`` of them from ``start`` on: hashes of the core, and the bytes before and after it
+#: (``lead`` of them before it in the first window; those that belong to no window are 0).
+PIECE = np.dtype([("meet", "<u8"), ("check", "<u8"), ("start", "<u4"), ("count", "u1"), ("lead", "u1"), ("settled", "u1"),
+                  ("left", "u1", PART - 1), ("right", "u1", PART - 1)])
 
 
 def cells(data: np.ndarray, cut: np.ndarray) -> dict[str, np.ndarray]:
@@ -113,7 +123,7 @@ def split(h: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _deal(n_buckets: int):
-    """Cells per bucket; cells that repeat another of the task are settled here and sent as runs."""
+    """Cells per bucket; cells that repeat another of the task are settled here and sent as runs, those of hot cores as open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -142,29 +152,42 @@ def _deal(n_buckets: int):
         group = np.cumsum(new) - 1
         twice = np.bincount(group) > 1
         chief = order[new]  # of equal cells one goes on; the lowest bit of check says that there are more
-        out: list[list] = [[], [], [], [], []]
-        rest = order[~new]
+        new_core = np.ones(len(chief), np.bool_)
+        new_core[1:] = core[chief][1:] != core[chief][:-1]
+        of_core = np.cumsum(new_core) - 1
+        is_hot = (np.bincount(of_core) >= HOT)[of_core]
+        out: list[list] = [[] for _ in range(6)]
+        rest = np.concatenate((order[~new], chief[is_hot & twice]))
         if len(rest):
             rest = rest[np.argsort(key[rest], kind="stable")]
             for k, blob in runs(key[rest], start[rest], count[rest]):
-                for c, v in zip(out, (k & 0x7FFF, k, None, None, blob)):
+                for c, v in zip(out, (k & 0x7FFF, k, None, None, blob, None)):
                     c.append(v)
+        many, hot = np.zeros(len(order), np.bool_), np.zeros(len(order), np.bool_)
+        many[chief], hot[chief] = twice, is_hot
+        direct = chief[is_hot]
+        direct = direct[np.argsort(key[direct], kind="stable")]
+        items = np.zeros(len(direct), ITEM)
+        items["start"], items["count"], items["offset"], items["check"] = start[direct], count[direct], offset[direct], 2 + many[direct]
+        who, at = np.unique(key[direct], return_index=True)
+        for k, x, y in zip(who.tolist(), at.tolist(), [*at[1:].tolist(), len(direct)]):
+            for c, v in zip(out, (k & 0x7FFF, k, None, None, None, items[x:y].tobytes())):
+                c.append(v)
+        chief = chief[~is_hot | new_core]  # of a hot core one cell goes on, for the core's sake only
         sel = chief[np.lexsort((key[chief], bucket[chief]))]
-        many = np.zeros(len(order), np.bool_)
-        many[chief] = twice
         items = np.empty(len(sel), ITEM)
         items["low"], items["start"], items["count"], items["offset"] = low[sel], start[sel], count[sel], offset[sel]
-        items["check"] = (hull[sel] & ~U(1)) | many[sel].astype(U)
+        items["check"] = (hull[sel] & ~U(3)) | hot[sel].astype(U) << U(1) | many[sel].astype(U)
         where = np.searchsorted(bucket[sel], np.arange(n_buckets + 1))
         for b in range(n_buckets):
             x, y = where[b], where[b + 1]
             if x < y:
                 who, n = np.unique(key[sel[x:y]], return_counts=True)
-                for c, v in zip(out, (b, None, who.tobytes(), n.astype(np.uint32).tobytes(), packed(items[x:y]))):
+                for c, v in zip(out, (b, None, who.tobytes(), n.astype(np.uint32).tobytes(), packed(items[x:y]), None)):
                     c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
                                           *(pa.array(c, pa.binary()) for c in out[2:])],
-                                         names=["bucket", "key", "keys", "counts", "blob"])
+                                         names=["bucket", "key", "keys", "counts", "blob", "open"])
 
     return run
 
@@ -204,12 +227,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bucket, rows = None, []
     for batch in batches:  # sorted by bucket
         ready: list[tuple] = []
-        for b, key, keys, counts, blob in zip(*batch.columns):
+        for b, key, keys, counts, blob, unsure in zip(*batch.columns):
             if b.as_py() != bucket:
                 yield from _settled(rows)
                 bucket, rows = b.as_py(), []
             if key.is_valid:
-                ready.append((key.as_py(), blob.as_py(), None))
+                ready.append((key.as_py(), blob.as_py(), unsure.as_py()))
             else:
                 rows.append((keys.as_py(), counts.as_py(), blob.as_py()))
         if ready:
@@ -222,19 +245,22 @@ def _settled(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     if rows:
         key = np.concatenate([np.repeat(np.frombuffer(k, np.int64), np.frombuffer(n, np.uint32)) for k, n, _ in rows])
         items = np.concatenate([unpacked(r[2]) for r in rows])
+        is_hot = (items["check"] & U(2)) > 0
+        hot = np.unique(items["low"][is_hot])
+        key, items = key[~is_hot], items[~is_hot]
         low = items["low"]
         order = np.argsort(low, kind="stable")
         same = low[order][1:] == low[order][:-1]
         many = (items["check"][order] & U(1)).astype(np.bool_)
-        shared = many.copy()
+        shared = many | np.isin(low[order], hot)
         shared[1:] |= same
         shared[:-1] |= same
         order = order[shared]
-        order = order[np.lexsort((items["check"][order] >> U(1), low[order]))]
+        order = order[np.lexsort((items["check"][order] >> U(2), low[order]))]
         key, items = key[order], items[order]
         if not len(key):
             return
-        low, hull = items["low"], items["check"] >> U(1)
+        low, hull = items["low"], items["check"] >> U(2)
         new_core = np.ones(len(key), np.bool_)
         new_core[1:] = low[1:] != low[:-1]
         new_hull = new_core.copy()
@@ -242,7 +268,8 @@ def _settled(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         of_hull = np.cumsum(new_hull) - 1
         of_core = np.cumsum(new_core) - 1
         twice = (np.bincount(of_hull) + np.bincount(of_hull, items["check"] & U(1)) > 1)[of_hull]
-        unsure = (np.bincount(of_core, ~twice) > 0)[of_core]
+        is_hot = np.isin(low, hot)
+        unsure = (np.bincount(of_core, ~twice) > 0)[of_core] | is_hot
         # of a repeated hull one cell goes along as a partner for the open ones
         send = unsure & (~twice | new_hull)
         ready = []
@@ -253,7 +280,7 @@ def _settled(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         sel = sel[np.argsort(key[sel], kind="stable")]
         who, at = np.unique(key[sel], return_index=True)
         out = items[sel].copy()
-        out["check"] = twice[sel]
+        out["check"] = twice[sel] + 2 * is_hot[sel]
         for k, x, y in zip(who.tolist(), at.tolist(), [*at[1:].tolist(), len(sel)]):
             ready.append((k, None, out[x:y].tobytes()))
         if ready:
@@ -266,38 +293,115 @@ def _by_key(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["key", "runs", "open"])
 
 
-SUFFIXES = "meet long, check long, key long, start int, count int, lead int, settled boolean, left binary, right binary"
+def _open(n_buckets: int):
+    """The parts of open cells: a core as hashes, and the bytes left and right of it, dealt by the core.
 
+    Windows of hot cores are dealt one by one, by all of their bytes, so they spread with what surrounds the
+    core.  Parts equal to another of the task are settled here, and one of them goes on as a partner."""
 
-def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The parts of open cells: what lies left and right of the part's core, dealt by that core."""
-    for batch in batches:
-        cols: list[list] = [[] for _ in range(9)]
-        for key, text, blobs in zip(*(c.to_pylist() for c in batch.columns)):
-            data = np.frombuffer((text or "").encode(), np.uint8)
-            items = np.concatenate([np.frombuffer(b, ITEM) for b in blobs])
-            start, offset = items["start"].astype(np.int64), items["offset"].astype(np.int64)
-            last = start + items["count"] - 1
-            anchor = start + offset
-            # parts of PART offsets, on the same grid for every cell
-            parts = []
-            for p in range(REACH // PART):
-                least, most = p * PART, p * PART + PART - 1
-                a, b = np.maximum(start, anchor - most), np.minimum(last, anchor - least)
-                has = np.flatnonzero(a <= b)
-                parts.append(np.stack([has, a[has], b[has], anchor[has] - least, anchor[has] - most + SPAN, np.full(len(has), p)]))
-            who, a, b, core_from, core_to, p = np.concatenate(parts, axis=1)
-            one, two = Polynomial(data), Polynomial(data, OTHER_BASE)
-            meet = mix64(one.of(core_from, core_to) + p.astype(U) * U(OTHER_BASE))
-            check = mix64(two.of(core_from, core_to) + p.astype(U) * U(BASE))
-            body = data.tobytes()
-            for i, x, y, f, t, m, c in zip(who.tolist(), a.tolist(), b.tolist(), core_from.tolist(), core_to.tolist(),
-                                           meet.view(np.int64).tolist(), check.view(np.int64).tolist()):
-                for col, v in zip(cols, (m, c, key, x, y - x + 1, f - x, bool(items["check"][i]), body[x:f], body[t:y + SPAN])):
-                    col.append(v)
-        types = [pa.int64()] * 3 + [pa.int32()] * 3 + [pa.bool_()] + [pa.binary()] * 2
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                         names=[f.split()[0] for f in SUFFIXES.split(", ")])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        waiting = 0
+        for batch in batches:
+            data, ends = utf8(batch.column(1))
+            blobs = batch.column(2).to_pylist()
+            keys = batch.column(0).to_numpy()
+            for i, j in by_bytes(ends, SEGMENT):
+                got = pieces(data[ends[i]:ends[j]], ends[i:j] - ends[i], keys[i:j], blobs[i:j])
+                held += got
+                waiting += sum(len(key) for key, _ in got)
+                if waiting >= FLUSH // 2:
+                    yield from flush(held)
+                    held, waiting = [], 0
+        if waiting:
+            yield from flush(held)
+
+    def pieces(data: np.ndarray, begin: np.ndarray, keys: np.ndarray, blobs: list[list[bytes]]) -> list[tuple]:
+        count = [sum(len(x) for x in b) // ITEM.itemsize for b in blobs]
+        doc = np.repeat(np.arange(len(blobs)), count)
+        items = np.frombuffer(b"".join(x for b in blobs for x in b), ITEM)
+        start, offset = items["start"] + begin[doc], items["offset"].astype(np.int64)
+        last = start + items["count"] - 1
+        anchor = start + offset
+        one, two = Polynomial(data), Polynomial(data, OTHER_BASE)
+        out = []
+        for p in range(REACH // PART):  # parts of PART offsets, on the same grid for every cell
+            least, most = p * PART, p * PART + PART - 1
+            a, b = np.maximum(start, anchor - most), np.minimum(last, anchor - least)
+            has = np.flatnonzero(a <= b)
+            core_from, core_to = anchor[has] - least, anchor[has] - most + SPAN
+            meet = mix64(one.of(core_from, core_to) + U(p * OTHER_BASE % (1 << 64)))
+            check = mix64(two.of(core_from, core_to) + U(p * BASE % (1 << 64)))
+            hot = items["check"][has] > 1
+            n = b[has] - a[has] + 1
+            several = np.where(hot, n, 1)
+            row = np.repeat(np.arange(len(has)), several)
+            at = a[has][row] + np.arange(len(row)) - (np.cumsum(several) - several)[row]
+            w = np.empty(len(row), PIECE)
+            lead, count = core_from[row] - at, np.where(hot, 1, n)[row]
+            w["meet"], w["check"], w["lead"], w["count"] = meet[row], check[row], lead, count
+            w["settled"] = items["check"][has][row]  # the second bit: hot
+            w["start"] = at - begin[doc[has]][row]
+            for k in range(PART - 1):
+                x, y = core_from[row] - (PART - 1) + k, core_to[row] + k
+                w["left"][:, k] = np.where(x >= at, data[np.maximum(x, 0)], 0)
+                w["right"][:, k] = np.where(y < at + count - 1 + SPAN, data[np.minimum(y, len(data) - 1)], 0)
+            out.append((keys[doc[has]][row], w))
+        return out
+
+    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        key, items = np.concatenate([k for k, _ in held]), np.concatenate([w for _, w in held])
+        order, new = alike(items)
+        group = np.cumsum(new) - 1
+        twice = np.empty(len(order), np.bool_)
+        twice[order] = (np.bincount(group) > 1)[group]
+        out: list[list] = [[], [], [], [], []]
+        done = np.flatnonzero(twice & (items["settled"] & 1 == 0))
+        done = done[np.argsort(key[done], kind="stable")]
+        for k, blob in runs(key[done], items["start"][done], items["count"][done]):
+            for c, v in zip(out, (k & 0x7FFF, k, None, None, blob)):
+                c.append(v)
+        items["settled"] |= twice
+        sel = order[new]
+        bucket = split(np.where(items["settled"][sel] > 1, dealt(items[sel]), mix64(items["meet"][sel])), n_buckets)[0]
+        by = np.lexsort((key[sel], bucket))
+        sel, bucket = sel[by], bucket[by]
+        where = np.searchsorted(bucket, np.arange(n_buckets + 1))
+        for b in range(n_buckets):
+            x, y = where[b], where[b + 1]
+            if x < y:
+                who, n = np.unique(key[sel[x:y]], return_counts=True)
+                for c, v in zip(out, (b, None, who.tobytes(), n.astype(np.uint32).tobytes(), items[sel[x:y]].tobytes())):
+                    c.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
+                                          *(pa.array(c, pa.binary()) for c in out[2:])],
+                                         names=["bucket", "key", "keys", "counts", "blob"])
+
+    return run
+
+
+def columns(items: np.ndarray) -> tuple[np.ndarray, ...]:
+    """What tells pieces apart."""
+    sides = [np.ascontiguousarray(items[side]) for side in ("left", "right")]
+    return (*(np.ascontiguousarray(x[:, a:a + 4]).view("<u4").ravel().astype(U) for x in sides for a in range(0, PART - 1, 4)),
+            items["lead"].astype(U), items["count"].astype(U), items["check"], items["meet"])
+
+
+def dealt(items: np.ndarray) -> np.ndarray:
+    """A hash of the whole piece."""
+    h = np.zeros(len(items), U)
+    for c in columns(items):
+        h = mix64(h * U(BASE) + c)
+    return h
+
+
+def alike(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order with equal pieces together, and where a new one begins in it."""
+    cols = columns(items)
+    order = np.lexsort(cols)
+    new = np.ones(len(order), np.bool_)
+    new[1:] = np.any([c[order][1:] != c[order][:-1] for c in cols], axis=0)
+    return order, new
 
 
 class Suffixes:
@@ -357,57 +461,65 @@ class Suffixes:
         return at
 
 
-def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sort the suffixes that meet here; windows equal to a neighbour are repeated."""
-    got = list(batches)
-    if not got:
+def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document: runs of repeated windows among those that were open."""
+    bucket, rows = None, []
+    for batch in batches:  # sorted by bucket
+        ready: list[tuple] = []
+        for b, key, keys, counts, blob in zip(*batch.columns):
+            if b.as_py() != bucket:
+                yield from _sorted(rows)
+                bucket, rows = b.as_py(), []
+            if key.is_valid:
+                ready.append((key.as_py(), blob.as_py(), None))
+            else:
+                rows.append((keys.as_py(), counts.as_py(), blob.as_py()))
+        if ready:
+            yield _by_key(ready)
+    yield from _sorted(rows)
+
+
+def _sorted(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Sort the suffixes of one bucket; windows equal to a neighbour are repeated."""
+    if not rows:
         return
-    rows = pa.Table.from_batches(got)
-    meet, check, key, start, count, lead = (rows.column(c).to_numpy() for c in ("meet", "check", "key", "start", "count", "lead"))
-    settled = rows.column("settled").to_numpy(zero_copy_only=False)
+    key = np.concatenate([np.repeat(np.frombuffer(k, np.int64), np.frombuffer(n, np.uint32)) for k, n, _ in rows])
+    items = np.concatenate([np.frombuffer(r[2], PIECE) for r in rows])
     # cores that came alone are unique
-    order = np.lexsort((check, meet))
-    core = np.empty(len(order), np.int64)
+    order = np.lexsort((items["check"], items["meet"]))
     new = np.ones(len(order), np.bool_)
-    new[1:] = (meet[order][1:] != meet[order][:-1]) | (check[order][1:] != check[order][:-1])
-    core[order] = np.cumsum(new) - 1
-    keep = np.flatnonzero((np.bincount(core) > 1)[core])
-    if not len(keep):
+    new[1:] = (items["meet"][order][1:] != items["meet"][order][:-1]) | (items["check"][order][1:] != items["check"][order][:-1])
+    order = order[(np.bincount(np.cumsum(new) - 1) > 1)[np.cumsum(new) - 1]]
+    if not len(order):
         return
-    left = rows.column("left").take(pa.array(keep)).to_pylist()
-    right = rows.column("right").take(pa.array(keep)).to_pylist()
-    core, key, start, count, lead, settled = (v[keep] for v in (core, key, start, count, lead, settled))
-    # one text of all pieces: left bytes, a symbol for the core, right bytes; a window is PART symbols of it
-    size = np.array([len(a) + 1 + len(b) for a, b in zip(left, right)])
-    begin = np.cumsum(size) - size
-    text = np.frombuffer(b"".join(x for a, b in zip(left, right) for x in (a, b"\0", b)) + b"\0" * PART, np.uint8).astype(np.uint16)
-    text[begin + lead] = 256
-    row = np.repeat(np.arange(len(keep)), count)
-    step = np.arange(len(row)) - (np.cumsum(count) - count)[row]
-    at = begin[row] + step
-    ahead = lead[row] - step  # symbols before the core: equal windows have equally many
-    order = np.lexsort((ahead, core[row]))
-    row, at, ahead, step = row[order], at[order], ahead[order], step[order]
-    new = np.ones(len(row), np.bool_)
-    new[1:] = (core[row][1:] != core[row][:-1]) | (ahead[1:] != ahead[:-1])
+    row = np.repeat(order, items["count"][order])
+    step = np.arange(len(row)) - np.repeat(np.cumsum(items["count"][order], dtype=np.int64) - items["count"][order], items["count"][order])
+    lead = items["lead"][row] - step  # symbols before the core: equal windows have equally many
+    by = np.lexsort((lead, items["check"][row], items["meet"][row]))
+    row, step, lead = row[by], step[by], lead[by]
+    key, start, items = key[row], items["start"][row] + step, items[row]
+    # one text of all windows: left bytes, a symbol for the core, right bytes
+    text = np.empty((len(key), PART), np.uint16)
+    for k in range(PART):
+        text[:, k] = np.where(k < lead, items["left"][np.arange(len(key)), np.minimum(PART - 1 - lead + k, PART - 2)],
+                              items["right"][np.arange(len(key)), np.maximum(k - lead - 1, 0)])
+    text[np.arange(len(key)), lead] = 256
+    text = text.ravel()
+    at = np.arange(len(key)) * PART
+    new = np.ones(len(key), np.bool_)  # equal windows have the same core at the same place
+    new[1:] = np.any([c[1:] != c[:-1] for c in (items["meet"], items["check"], lead)], axis=0)
     group = np.cumsum(new) - 1
-    many = np.bincount(group)[group]
-    first = np.flatnonzero(new)[group]
     suffixes = Suffixes(text, PART)
-    owner = np.repeat(np.arange(len(keep)), size)
-    ranked = suffixes.sort(at, first, many)
+    ranked = suffixes.sort(at, np.flatnonzero(new)[group], np.bincount(group)[group])
     pairs = np.flatnonzero(group[1:] == group[:-1])
     x, y = ranked[pairs], ranked[pairs + 1]
     equal = suffixes.common(x, y) == PART
     for k in range(PART):  # the hashes agree: so must the bytes
         equal &= text[x + k] == text[y + k]
-    hit = np.unique(np.concatenate((x[equal], y[equal])))
-    who = owner[hit]
-    take = ~settled[who]
-    hit, who = hit[take], who[take]
-    order = np.argsort(key[who], kind="stable")
-    hit, who = hit[order], who[order]
-    out = [(k, blob, None) for k, blob in runs(key[who], start[who] + hit - begin[who], np.ones(len(who), np.int64))]
+    hit = np.unique(np.concatenate((x[equal], y[equal]))) // PART
+    hit = hit[items["settled"][hit] & 1 == 0]
+    hit = hit[np.argsort(key[hit], kind="stable")]
+    out = [(k, blob, None) for k, blob in runs(key[hit], start[hit], np.ones(len(hit), np.int64))]
     if out:
         yield _by_key(out)
 
@@ -442,12 +554,14 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     docs = df.select(df[id_col].cast("long").alias("doc_id"), df[text].cast("string").alias("text"))
     docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     found = stored(docs.select("key", "text")
-                   .mapInArrow(frugal(_deal(min(parts, 1 << 15))), "bucket int, key long, keys binary, counts binary, blob binary")
+                   .mapInArrow(frugal(_deal(min(parts, 1 << 15))),
+                               "bucket int, key long, keys binary, counts binary, blob binary, open binary")
                    .repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_settle), "key long, runs binary, open binary"), "cells")
     # a document's open cells; no more than its length allows
     unsure = stored(found.where("open is not null").groupBy("key").agg(F.collect_list("open").alias("open")), "open")
-    sorted_ = (docs.select("key", "text").join(unsure, "key").mapInArrow(frugal(_open), SUFFIXES)
-               .repartition(parts, "meet").mapInArrow(frugal(_sorted), "key long, runs binary, open binary"))
+    sorted_ = (docs.select("key", "text").join(unsure, "key")
+               .mapInArrow(frugal(_open(min(parts, 1 << 15))), "bucket int, key long, keys binary, counts binary, blob binary")
+               .repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(frugal(_sort), "key long, runs binary, open binary"))
     done = stored(found.where("runs is not null").select("key", "runs").unionByName(sorted_.select("key", "runs"))
                   .groupBy("key").agg(F.collect_list("runs").alias("runs")), "runs")
     return docs.join(done, "key", "left").select("doc_id", "text", "runs").mapInArrow(

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -300,3 +301,70 @@ def test_prefix_bound_keeps_linked_sets(n, seed):
     if a and b and 100 * len(a & b) >= 75 * len(a | b):
         shared = set.intersection(*(set(sorted(s)[:len(s) - ngram_join.least(len(s)) + 1]) for s in sets))
         assert len(shared) + ngram_join.least(max(len(a), len(b))) - 1 >= 75 * (len(a) + len(b)) / 175
+
+
+def test_windows_of_a_hot_passage_meet_nowhere_as_a_whole():
+    """A passage in many surroundings: its borders share cores, but no bucket gets more than its part."""
+    import random
+    rng = random.Random(17)
+    passage = corpus.sentence(rng, 60)
+    texts = [corpus.sentence(rng, 30) + passage + corpus.sentence(rng, 30) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["key", "text"])
+    cells = [b for b in suffix_dedup._deal(64)([batch])]
+    least = Counter()
+    for row in (row for b in cells for row in b.to_pylist() if row["key"] is None):
+        least.update((row["bucket"], int(low)) for low in suffix_dedup.unpacked(row["blob"])["low"])
+    assert max(least.values()) < suffix_dedup.HOT
+    blobs = [[] for _ in texts]
+    for b in suffix_dedup._settle(pa.Table.from_batches(cells).sort_by("bucket").to_batches()):
+        for row in b.to_pylist():
+            blobs[row["key"]] += [row["open"]] if row["open"] else []
+    batch = batch.append_column("open", pa.array(blobs, pa.list_(pa.binary())))
+    dealt, cores, found = Counter(), Counter(), []
+    for out in suffix_dedup._open(64)([batch]):
+        for row in (row for row in out.to_pylist() if row["key"] is None):
+            got = np.frombuffer(row["blob"], suffix_dedup.PIECE)
+            dealt[row["bucket"]] += len(got)
+            cores.update(got["meet"].tolist())
+            found += [(w["meet"], w["check"], w["lead"], w["count"], w["left"].tobytes(), w["right"].tobytes()) for w in got]
+    assert len(set(found)) == len(found)  # equal ones of a task go on once
+    assert max(cores.values()) > len(texts)  # one core, many surroundings
+    assert max(dealt.values()) < 1.5 * sum(dealt.values()) / 64
+
+
+@pytest.mark.parametrize("hot", [1, 2, 8])
+def test_hot_cores_lose_no_repeat(hot, monkeypatch):
+    """Two tasks, of which one knows that cores are shared; documents of the other that begin or end as they do."""
+    import random
+    rng = random.Random(18)
+    passage = corpus.sentence(rng, 60)
+    texts = [corpus.sentence(rng, 30) + passage + corpus.sentence(rng, 30) for _ in range(12)]
+    texts += [texts[3][100:] + "x", "y" + texts[4][:-90], passage + "z", corpus.sentence(rng, 70), texts[5]]
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    found, unsure = {}, {}
+
+    def take(batches):
+        for out in batches:
+            for row in out.to_pylist():
+                for into, blob in ((found, row["runs"]), (unsure, row["open"])):
+                    if blob is not None:
+                        into.setdefault(row["key"], []).append(blob)
+
+    def by_bucket(tasks):
+        rows = [pa.Table.from_batches([b]) for task in tasks for b in task]
+        return pa.concat_tables(rows).sort_by("bucket").to_batches() if rows else []
+
+    def batch(i, j):
+        return pa.RecordBatch.from_arrays([pa.array(range(i, j), pa.int64()), pa.array(texts[i:j])], names=["key", "text"])
+
+    take(suffix_dedup._settle(by_bucket(suffix_dedup._deal(4)([batch(i, j)]) for i, j in ((0, 12), (12, len(texts))))))
+    docs = [pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([texts[k]]), pa.array([b], pa.list_(pa.binary()))],
+                                       names=["key", "text", "open"]) for k, b in unsure.items()]
+    take(suffix_dedup._sort(by_bucket(suffix_dedup._open(4)([d]) for d in docs)))
+    for k, (body, gone) in enumerate(corpus.repeated_bytes(texts)):
+        got = bytearray(len(body))
+        for blob in found.get(k, []):
+            for run in np.frombuffer(blob, suffix_dedup.RUN):
+                a, n = int(run["start"]), int(run["count"])
+                got[a:a + n + 199] = b"\1" * (n + 199)
+        assert got == gone
