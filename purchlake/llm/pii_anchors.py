@@ -104,7 +104,7 @@ def spans(text: str, anchors) -> list[tuple[int, int, int]]:
                 left -= 1
             if m := IP.match(text, left):
                 done[what] = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups()):
+                if all(len(d := p.lstrip("0")) <= 3 and int(d or "0") <= 255 for p in m.groups()):
                     found.append((left, m.end(), kind))
         elif what == "card":
             m = CARD.match(text, at)

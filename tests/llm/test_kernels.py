@@ -368,3 +368,12 @@ def test_hot_cores_lose_no_repeat(hot, monkeypatch):
                 a, n = int(run["start"]), int(run["count"])
                 got[a:a + n + 199] = b"\1" * (n + 199)
         assert got == gone
+
+
+def test_addresses_with_long_runs_of_zeros():
+    anchors = pii_anchors.automaton()
+    for zeros in (1, 5000):
+        text = "x " + "0" * zeros + ".1.2.3 y"
+        assert (2, len(text) - 2, pii_anchors.KINDS.index("ip")) in pii_anchors.spans(text, anchors)
+        text = "x 1.2.3." + "0" * zeros + "256 y"
+        assert not [s for s in pii_anchors.spans(text, anchors) if pii_anchors.KINDS[s[2]] == "ip"]
