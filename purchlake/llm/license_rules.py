@@ -98,7 +98,7 @@ FRAMES = {"identifier": (0, 1.0), "sentence": (1, 0.95), "versioned": (2, 0.9),
 WORDS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Every rule holds one of these; texts without them are passed over.
 CUES = re.compile(rb"licen[sc]e|[^0-9a-z]cc[^0-9a-z]+by[^0-9a-z]|^cc[^0-9a-z]+by|spdx|gpl|gfdl|"
-                  rb"\basl\b|\bmpl\b|\bepl\b|cddl|eupl|\bosl\b|odbl|cc0|cc[^0-9a-z]+zero|creative|wtfpl|"
+                  rb"(?<![0-9a-z])(?:asl|mpl|epl|osl)(?![0-9a-z])|cddl|eupl|odbl|cc0|cc[^0-9a-z]+zero|creative|wtfpl|"
                   rb"permission|redistribut|warranty|domain|rights|by\Z")
 IS_WORD = np.zeros(256, np.bool_)
 IS_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True

@@ -377,3 +377,18 @@ def test_addresses_with_long_runs_of_zeros():
         assert (2, len(text) - 2, pii_anchors.KINDS.index("ip")) in pii_anchors.spans(text, anchors)
         text = "x 1.2.3." + "0" * zeros + "256 y"
         assert not [s for s in pii_anchors.spans(text, anchors) if pii_anchors.KINDS[s[2]] == "ip"]
+
+
+@pytest.mark.parametrize("sep", ["_", "__", " _", "-", ".", "\u2003_"])
+def test_cues_pass_every_rule_with_any_separator(sep):
+    """A word ends at everything but letters and digits, the underscore included."""
+    ordered = license_rules.rules()
+    texts = [name for names, _, _ in license_rules.FAMILIES.values() for name in names]
+    texts += [f"{name} {v}" for names, versions, _ in license_rules.FAMILIES.values() for name in names for v in versions]
+    texts += [words for _, words in license_rules.SENTENCES] + list(license_rules.BASE)
+    texts += [f"spdx license identifier {spdx}" for _, _, spdx in license_rules.FAMILIES.values()]
+    for words in texts:
+        for a in ("", sep):
+            for b in ("", sep):
+                text = (a + words.replace(" ", sep).replace(".", sep) + b).encode()
+                assert license_rules.CUES.search(text) or not license_rules.scan(text, ordered)[4], text
