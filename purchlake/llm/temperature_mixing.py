@@ -14,8 +14,8 @@ stops in the block where the source's budget is spent.  ``mix_key`` (0 to 1)
 orders the rows of all sources so that any stretch of the mix holds them at
 their weights.
 
-A source's totals reach the driver (``MOST_SOURCES`` at most), and block totals
-are ordered per source and epoch (``MOST_BLOCKS`` at most); documents are only
+A source's totals reach the driver (of more than ``MOST_SOURCES`` sources only how
+many have which total, and their plan is joined as a table), and block totals are ordered per source and epoch (``MOST_BLOCKS`` at most); documents are only
 scanned, never sorted or gathered by source, so a hot source is no hot task.
 
 Tokens are words between blanks.  Nulls: a null text has no tokens, a null
@@ -40,16 +40,19 @@ MAX_REPEATS = 2.0
 SEED = 20
 
 
-def weights(tokens: Mapping[str, int], exponent: float) -> dict[str, float]:
-    """Normalised shares to the power ``exponent``; sources without tokens weigh nothing."""
-    total = sum(tokens.values())
+def weights(tokens: Mapping, exponent: float, many: Mapping | None = None) -> dict:
+    """Normalised shares to the power ``exponent``; sources without tokens weigh nothing.
+
+    ``many`` tells how many sources a key of ``tokens`` stands for."""
+    many = many or dict.fromkeys(tokens, 1)
+    total = sum(n * many[s] for s, n in tokens.items())
     raw = {s: (n / total) ** exponent if n else 0.0 for s, n in tokens.items()}
-    whole = sum(raw.values())
+    whole = sum(x * many[s] for s, x in raw.items())
     return {s: w / whole if whole else 0.0 for s, w in raw.items()}
 
 
-def entropy(w: Mapping[str, float]) -> float:
-    return -sum(x * math.log(x) for x in w.values() if x > 0)
+def entropy(w: Mapping, many: Mapping | None = None) -> float:
+    return -sum(x * math.log(x) * (many[s] if many else 1) for s, x in w.items() if x > 0)
 
 
 def repeats(tokens: Mapping[str, int], w: Mapping[str, float], budget: float | None = None) -> dict[str, float]:
@@ -60,13 +63,13 @@ def repeats(tokens: Mapping[str, int], w: Mapping[str, float], budget: float | N
 
 
 def find_exponent(tokens: Mapping[str, int], max_repeats: float | None = MAX_REPEATS,
-                  target_entropy: float | None = None, budget: float | None = None) -> float:
+                  target_entropy: float | None = None, budget: float | None = None, many: Mapping | None = None) -> float:
     """Bisect the exponent between 0 (equal weights) and 1 (shares as they are)."""
 
     def too_flat(x: float) -> bool:
-        w = weights(tokens, x)
+        w = weights(tokens, x, many)
         return ((max_repeats is not None and max(repeats(tokens, w, budget).values(), default=0) > max_repeats)
-                or (target_entropy is not None and entropy(w) > target_entropy))
+                or (target_entropy is not None and entropy(w, many) > target_entropy))
 
     low, high = 0.0, 1.0
     if not too_flat(low):
@@ -92,32 +95,50 @@ def mix(df: DataFrame, source: str = "source", id_col: str = "doc_id", text: str
         "row", F.when(F.col(f"row.`{source}`").isNull(), "-")
         .otherwise(F.concat(F.lit("+"), F.col(f"row.`{source}`").cast("string"))).alias("key"),
         F.col(f"row.`{id_col}`").alias("id"), word_count(F.col(f"row.`{text}`")).alias("tokens"))
-    totals = rows.groupBy("key").agg(F.sum("tokens"), F.count("*")).limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    tokens = {r[0]: r[1] for r in totals}
-    w = weights(tokens, find_exponent(tokens, max_repeats, target_entropy, budget))
+    sums = rows.groupBy("key").agg(F.sum("tokens").alias("total"), F.count("*").alias("n"))
+    totals = sums.limit(MOST_SOURCES + 1).collect()
+    few, many = len(totals) <= MOST_SOURCES, None
+    if few:
+        tokens = {r[0]: r[1] for r in totals}
+    else:  # different totals are far fewer than sources: k of them need k^2 / 2 tokens
+        sums = stored(sums, "sources")
+        many = {r[0]: r[1] for r in sums.groupBy("total").count().collect()}
+        tokens = {t: t for t in many}
+    w = weights(tokens, find_exponent(tokens, max_repeats, target_entropy, budget, many), many)
     often = repeats(tokens, w, budget)
+
+    def planned(k, t: int) -> tuple:
+        # a source that is read once in whole loses no row to rounding
+        return w[k], often[k] * t, max(1, math.ceil(often[k] - 1e-9)), often[k] >= 1 - 1e-9, t
+
+    columns = "weight double, budget double, epochs int, whole boolean, total long"
     # one short row for each source
-    plan = spark.createDataFrame(
-        [(k, max(1, min(MOST_BLOCKS, -(-n // BLOCK_ROWS))), w[k], often[k] * t,
-          max(1, math.ceil(often[k] - 1e-9)), t) for k, t, n in totals],
-        "key string, n_blocks int, weight double, budget double, epochs int, total long")
-    dealt = rows.join(F.broadcast(plan), "key").withColumn(
+    if few:
+        plan = spark.createDataFrame([(k, n, *planned(k, t)) for k, t, n in totals], "key string, n long, " + columns)
+    else:
+        plan = stored(sums.join(spark.createDataFrame([planned(t, t) for t in tokens], columns), "total"), "plan")
+    plan = plan.withColumn("n_blocks", F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("n") / BLOCK_ROWS))).cast("int"))
+    short = F.broadcast if few else (lambda df: df)
+    if few:
+        dealt = rows.join(F.broadcast(plan), "key")
+    else:  # sources with many rows, MOST_SOURCES at most, are not shuffled
+        hot = F.broadcast(plan.where(F.col("n") * MOST_SOURCES >= sums.agg(F.sum("n")).first()[0]))
+        dealt = rows.join(hot, "key").unionByName(rows.join(hot.select("key"), "key", "left_anti").join(plan, "key"))
+    dealt = dealt.withColumn(
         "block", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("n_blocks")).cast("int"))
     narrow = stored(dealt.select("key", "id", "block", "tokens"), "mixing")
     # block totals -> the permutation of each epoch and where the budget ends
     epochs = (narrow.groupBy("key", "block").agg(F.sum("tokens").alias("block_tokens"))
-              .join(F.broadcast(plan), "key")
+              .join(short(plan), "key")
               .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs") - 1))))
     turn = Window.partitionBy("key", "epoch").orderBy(
         F.xxhash64("key", "block", "epoch", F.lit(seed)), "block").rowsBetween(Window.unboundedPreceding, -1)
     ordered = (epochs.withColumn("before", F.col("epoch") * F.col("total") + F.coalesce(F.sum("block_tokens").over(turn), F.lit(0)))
-               .where((F.col("before") < F.col("budget")) | ((F.col("epoch") == 0) & (F.col("block_tokens") == 0)))
+               .where((F.col("before") < F.col("budget")) | ((F.col("epoch") == 0) & (F.col("whole") | (F.col("block_tokens") == 0))))
                .withColumn("room", F.col("budget") - F.col("before")))
-    cut = ordered.where(F.col("room") < F.col("block_tokens"))  # the last block of a source
+    cut = ordered.where((F.col("room") < F.col("block_tokens")) & ~((F.col("epoch") == 0) & F.col("whole")))  # the last block of a source
     place = Window.partitionBy("key", "epoch", "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    last = (narrow.join(F.broadcast(cut.select("key", "block", "epoch", "room")), ["key", "block"])
+    last = (narrow.join(short(cut.select("key", "block", "epoch", "room")), ["key", "block"])
             .withColumn("turn", _turn(seed))
             .withColumn("earlier", F.coalesce(F.sum("tokens").over(place), F.lit(0)))
             .where(F.col("earlier") < F.col("room"))

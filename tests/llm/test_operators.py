@@ -152,6 +152,32 @@ def test_mixing_cuts_to_a_budget(spark):
     assert half["big"] == pytest.approx(750, rel=0.15) and half["small"] == pytest.approx(750, rel=0.15)
 
 
+def test_mixing_loses_no_row_to_rounding(spark):
+    """The least read source is read once; rows without tokens come along wherever its last token is."""
+    def spent(n):
+        tokens = {"+a": n, "+b": n // 2}
+        w = temperature_mixing.weights(tokens, temperature_mixing.find_exponent(tokens, 1.7))
+        return temperature_mixing.repeats(tokens, w)["+a"] * n
+
+    n = next(n for n in range(100, 900) if spent(n) < n)
+    df = spark.createDataFrame([(i, "a", "x") for i in range(n)] + [(n + i, "a", None) for i in range(400)]
+                               + [(2000 + i, "b", "x") for i in range(n // 2)], "doc_id long, source string, text string")
+    got = temperature_mixing.mix(df, max_repeats=1.7).where("epoch = 0 and source = 'a'")
+    assert sorted(r[0] for r in got.select("row.doc_id").collect()) == list(range(n + 400))
+
+
+def test_mixing_of_many_sources(docs, monkeypatch):
+    def rows():
+        got = temperature_mixing.mix(docs).select("row.doc_id", "row.text", "source", "epoch", "block", "tokens", "weight", "mix_key")
+        return sorted((tuple((x is not None, x) for x in r[:6]), r[6], r[7]) for r in got.collect())
+
+    want = rows()
+    monkeypatch.setattr(temperature_mixing, "MOST_SOURCES", 3)
+    got = rows()
+    assert [g[0] for g in got] == [g[0] for g in want]
+    assert np.allclose([g[1:] for g in got], [g[1:] for g in want])
+
+
 def test_suffix_dedup(docs):
     got = Counter(map(tuple, suffix_dedup.remove_repeats(docs).collect()))
     want = Counter()
