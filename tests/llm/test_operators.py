@@ -159,11 +159,11 @@ def test_mixing_loses_no_row_to_rounding(spark):
         w = temperature_mixing.weights(tokens, temperature_mixing.find_exponent(tokens, 1.7))
         return temperature_mixing.repeats(tokens, w)["+a"] * n
 
-    n = next(n for n in range(100, 900) if spent(n) < n)
-    df = spark.createDataFrame([(i, "a", "x") for i in range(n)] + [(n + i, "a", None) for i in range(400)]
+    n = next(n for n in range(4, 120) if spent(n) < n)
+    df = spark.createDataFrame([(i, "a", "x") for i in range(n)] + [(n + i, "a", None) for i in range(900)]
                                + [(2000 + i, "b", "x") for i in range(n // 2)], "doc_id long, source string, text string")
     got = temperature_mixing.mix(df, max_repeats=1.7).where("epoch = 0 and source = 'a'")
-    assert sorted(r[0] for r in got.select("row.doc_id").collect()) == list(range(n + 400))
+    assert sorted(r[0] for r in got.select("row.doc_id").collect()) == list(range(n + 900))
 
 
 def test_mixing_of_many_sources(docs, monkeypatch):
