@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (content_sort_dedup, genetic_packing, language_bits, license_rules, ngram_join, pii_anchors, reshard,
-               small_world, suffix_dedup, temperature_mixing)
+from . import (byte_bpe, content_sort_dedup, divergence_audit, genetic_packing, language_bits, license_rules, ngram_join,
+               pii_anchors, reshard, small_world, spelling_variants, suffix_dedup, temperature_mixing)
 
 QUERIES = {
     "op1_genetic_packing": (genetic_packing.query, None),
@@ -16,4 +16,7 @@ QUERIES = {
     "op8_min_cost_reshard": (reshard.query, None),
     "op9_small_world": (small_world.query, None),
     "op10_content_sort_dedup": (content_sort_dedup.query, content_sort_dedup.SQL),
+    "op11_byte_bpe": (byte_bpe.query, None),
+    "op12_pivotal_grams": (spelling_variants.query, spelling_variants.SQL),
+    "op13_run_length_audit": (divergence_audit.query, divergence_audit.SQL),
 }
