@@ -9,7 +9,9 @@ A table is a folder of snapshots and numbered commits.  A write first puts
 down a whole snapshot, then one commit file that names the snapshot *and*
 its high-water mark; the commit appears at once, by a rename.  The commit
 with the highest number is the table.  A job that dies before its commit
-leaves the previous commit in force, and a re-run is idempotent.  A table
+leaves the previous commit in force, and a re-run is idempotent.  A commit takes
+the number after the one its content was derived from, in one step that fails if
+that number is taken: of two writers, one merges again or fails.  A table
 counts as new only if its commit folder is proven absent: any other failure
 to read it is raised.
 """
@@ -19,7 +21,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -72,8 +74,12 @@ def _eq(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool)
 
 class Commit(NamedTuple):
     number: int
-    snapshot: str
+    snapshot: str | None
     mark: dt.datetime | None
+    keyed: dict | None = None  # ranges of a table laid out by key, see ``keyed``
+
+    def folders(self) -> set[str]:
+        return {r["path"] for r in self.keyed["ranges"] if r["path"]} if self.keyed else {self.snapshot}
 
 
 def _commits(spark: SparkSession, table_path: str) -> list[str]:
@@ -86,7 +92,7 @@ def _commits(spark: SparkSession, table_path: str) -> list[str]:
 def _read_commit(spark: SparkSession, table_path: str, name: str) -> Commit:
     got = json.loads(store.read_text(spark, f"{table_path}/{COMMITS}/{name}"))
     mark = got["mark"] and dt.datetime.fromisoformat(got["mark"])
-    return Commit(int(name.removesuffix(".json")), got["snapshot"], mark)
+    return Commit(int(name.removesuffix(".json")), got["snapshot"], mark, got.get("keyed"))
 
 
 def current_commit(spark: SparkSession, table_path: str) -> Commit | None:
@@ -95,27 +101,41 @@ def current_commit(spark: SparkSession, table_path: str) -> Commit | None:
     return _read_commit(spark, table_path, found[-1]) if found else None
 
 
-def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
-    commit = current_commit(spark, table_path)
+def read_commit(spark: SparkSession, table_path: str, commit: Commit | None) -> DataFrame | None:
+    """The table as of ``commit``; None for a table never written."""
+    if commit is not None and commit.keyed:
+        from .keyed import read
+        return read(spark, table_path, commit)
     return None if commit is None else spark.read.parquet(f"{table_path}/{commit.snapshot}")
 
 
+def read_table(spark: SparkSession, table_path: str) -> DataFrame | None:
+    return read_commit(spark, table_path, current_commit(spark, table_path))
+
+
 def read_mark(spark: SparkSession, table_path: str) -> dt.datetime | None:
     """High-water mark committed with the table, or None."""
     commit = current_commit(spark, table_path)
     return commit and commit.mark
 
 
+class CommitConflict(FileExistsError):
+    """The table has moved on since the commit that a write was derived from."""
+
+
 def write_snapshot(df: DataFrame, table_path: str, partition_by: Sequence[str] = (),
-                   mark_col: str | None = None) -> str:
+                   mark_col: str | None = None, base: Commit | None | str = "unread") -> str:
     """Write ``df`` as a new snapshot, then commit it.
 
     mark_col: its maximum, observed while the snapshot is written, is
     committed as the high-water mark, so the next incremental run needs no
-    scan of the table to find it.  A commit of the same number by another
-    writer makes this one fail, and nothing changes."""
+    scan of the table to find it.
+    base: the commit ``df`` was derived from (None: a table never written).  The
+    write takes the number after it, so a commit made since then by another
+    writer makes this one fail with ``CommitConflict``, and nothing changes.
+    Left out, ``df`` replaces whatever the table holds."""
     spark = df.sparkSession
-    before = current_commit(spark, table_path)
+    before = current_commit(spark, table_path) if base == "unread" else base
     number = before.number + 1 if before else 1
     name = f"snap-{number:012d}-{uuid.uuid4().hex[:8]}"
     seen = Observation()
@@ -125,18 +145,53 @@ def write_snapshot(df: DataFrame, table_path: str, partition_by: Sequence[str] =
         w = w.partitionBy(*partition_by)
     w.parquet(f"{table_path}/{name}")
     mark = seen.get["mark"] if mark_col else None
-    store.create_text(spark, f"{table_path}/{COMMITS}/{number:012d}.json",
-                      json.dumps({"snapshot": name, "mark": mark and mark.isoformat()}))
+    try:
+        _put(spark, table_path, number, {"snapshot": name, "mark": mark and mark.isoformat()})
+    except CommitConflict:
+        store.remove(spark, f"{table_path}/{name}")
+        raise
     _forget(spark, table_path)
     return f"{table_path}/{name}"
 
 
+def _put(spark: SparkSession, table_path: str, number: int, content: dict) -> None:
+    try:
+        store.create_text(spark, f"{table_path}/{COMMITS}/{number:012d}.json", json.dumps(content))
+    except FileExistsError as e:
+        raise CommitConflict(f"{table_path}: commit {number} was made by another writer") from e
+
+
+def commit_keyed(spark: SparkSession, table_path: str, base: Commit | None, keyed: dict, mark: dt.datetime | None) -> None:
+    """Commit ranges derived from ``base``; ``CommitConflict`` if the table has moved on."""
+    _put(spark, table_path, base.number + 1 if base else 1, {"snapshot": None, "mark": mark and mark.isoformat(), "keyed": keyed})
+    _forget(spark, table_path)
+
+
+def merge_snapshot(spark: SparkSession, table_path: str, merge: Callable[[DataFrame | None, Commit | None], DataFrame],
+                   mark_col: str | None = None, attempts: int = 5) -> str:
+    """Write ``merge(table, its commit)``, compare-and-swap: where another writer has committed since the table
+    was read, the merge is done again on what it left; after ``attempts`` the conflict is raised."""
+    for left in reversed(range(attempts)):
+        base = current_commit(spark, table_path)
+        try:
+            return write_snapshot(merge(read_commit(spark, table_path, base), base), table_path, mark_col=mark_col, base=base)
+        except CommitConflict:
+            if not left:
+                raise
+    raise ValueError("attempts must be at least 1")
+
+
 def _forget(spark: SparkSession, table_path: str) -> None:
-    """Remove snapshots of commits beyond the last KEPT, commit file first."""
-    for name in _commits(spark, table_path)[:-KEPT]:
+    """Remove what only commits beyond the last KEPT refer to, commit file first."""
+    found = _commits(spark, table_path)
+    if len(found) <= KEPT:
+        return
+    used = set().union(*(_read_commit(spark, table_path, name).folders() for name in found[-KEPT:]))
+    for name in found[:-KEPT]:
         old = _read_commit(spark, table_path, name)
         store.remove(spark, f"{table_path}/{COMMITS}/{name}")
-        store.remove(spark, f"{table_path}/{old.snapshot}")
+        for folder in old.folders() - used:
+            store.remove(spark, f"{table_path}/{folder}")
 
 
 def upsert_partitions(spark: SparkSession, table_path: str, batch: DataFrame, keys: Sequence[str],

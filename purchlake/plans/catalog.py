@@ -94,14 +94,18 @@ def mart_po_item(spark, sf_dir):
 # Second run of a pipeline: the target holds everything ingested before this
 # instant, the new batch is sliced behind its high-water mark.
 INCREMENT_CUT = dt.datetime(1998, 6, 1)
+APPROVAL_CUT = dt.datetime(2024, 1, 20)
 
 
-def silver_po_item_incremental(spark, sf_dir):
-    c = Ctx(spark, sf_dir)
-    spec = silver.spec_for("silver_mm_zimmpurgdocitem")
-    feed = c.feed(spec.feed)
-    target = silver.run(spec, feed.where(F.col("ingestiontime") < ntz(INCREMENT_CUT)), c.lk)
-    return _no_audit(silver.run(spec, feed, c.lk, target=target))
+def _second_run(name: str, cut: dt.datetime = INCREMENT_CUT) -> Query:
+    """The load again, onto the table made from what was ingested before the cut."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        c = Ctx(spark, sf_dir)
+        spec = silver.spec_for(name)
+        feed = c.feed(spec.feed)
+        target = silver.run(spec, feed.where(F.col("ingestiontime") < ntz(cut)), c.lk)
+        return _no_audit(silver.run(spec, feed, c.lk, target=target))
+    return q
 
 
 def mart_po_history_incremental(spark, sf_dir):
@@ -148,7 +152,16 @@ PIPELINES: dict[str, tuple[Query, str]] = {
     "mart_info_record": (mart_info_record, oracle.table("g_info_record")),
     "mart_po_history": (mart_po_history, oracle.table("g_po_history")),
     "mart_last_price": (mart_last_price, oracle.table("g_last_price")),
-    "silver_po_item_incremental": (silver_po_item_incremental, oracle.table("s_item_inc")),
+    "silver_po_item_incremental": (_second_run("silver_mm_zimmpurgdocitem"), oracle.table("s_item_inc")),
+    "silver_po_approval_incremental": (_second_run("silver_mm_zipoapprov", APPROVAL_CUT), oracle.table("s_po_approval_inc")),
+    "silver_goods_movement_incremental": (_second_run("silver_mm_zigoodsmvmtdoc"), oracle.table("s_goods_inc")),
+    "silver_info_record_incremental": (_second_run("silver_mm_ziinforecorgdata"), oracle.table("s_info_inc")),
+    "silver_schedule_line_incremental": (_second_run("silver_mm_zimmprgdocsl"), oracle.table("s_schedule_inc")),
+    "silver_po_history_incremental": (_second_run("silver_mm_zimmpurdochist"), oracle.table("s_history_inc")),
+    "silver_pr_approval_incremental": (_second_run("silver_mm_ziprapprov", APPROVAL_CUT), oracle.table("s_pr_approval_inc")),
+    "silver_pricing_incremental": (_second_run("silver_mm_zipricingelement"), oracle.table("s_pricing_inc")),
+    "silver_pr_item_incremental": (_second_run("silver_mm_zipritem"), oracle.table("s_pr_item_inc")),
+    "silver_po_header_incremental": (_second_run("silver_mm_zmmpurchasingdoc"), oracle.table("s_header_inc")),
     "mart_po_item_incremental": (mart_po_item_incremental, oracle.table("g_po_item_inc")),
     "mart_po_history_incremental": (mart_po_history_incremental, oracle.table("g_po_history_inc")),
     "mart_info_record_incremental": (mart_info_record_incremental, oracle.table("g_info_record_inc")),

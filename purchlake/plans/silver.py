@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -286,8 +286,11 @@ def build_specs() -> dict[str, SilverSpec]:
 INITIAL_DISTINCT = {"silver_mm_zmmpurchasingdoc"}
 
 
+def initial_form(spec: SilverSpec) -> SilverSpec:
+    """The spec as its initial load runs it."""
+    return replace(spec, distinct=True) if spec.name in INITIAL_DISTINCT else spec
+
+
 def spec_for(name: str, initial: bool = False) -> SilverSpec:
     s = build_specs()[name]
-    if initial and name in INITIAL_DISTINCT:
-        return SilverSpec(**{**s.__dict__, "distinct": True})
-    return s
+    return initial_form(s) if initial else s

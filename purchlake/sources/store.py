@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,20 +47,72 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Put a new file in place whole: written aside, then renamed.  Fails if ``path`` exists."""
-    fs, p = _open(spark, path)
-    if fs.exists(p):
-        raise FileExistsError(path)
-    _, aside = _open(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
-    stream = fs.create(aside, False)
+#: Schemes whose rename fails if the target exists, checked and done as one step.
+RENAMES_ATOMICALLY = {"hdfs", "viewfs", "ofs", "o3fs", "abfs", "abfss"}
+#: Schemes whose create refuses an existing file, checked and done as one step by the store.
+CREATES_ATOMICALLY = {"gs", "wasb", "wasbs"}
+#: Option by which other stores promise the same for one create.
+CONDITIONAL_CREATE = "fs.option.create.conditional.overwrite"
+
+
+def _write(stream, text: str) -> None:
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    if not fs.rename(aside, p):
+
+
+def _by_link(spark: SparkSession, path: str, text: str) -> None:
+    """Local disk: written aside, then linked to its name, which fails if the name is taken."""
+    jvm, (fs, p) = spark._jvm, _open(spark, path)
+    _, aside = _open(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    _write(fs.create(aside, False), text)
+    try:
+        file = jvm.java.io.File
+        jvm.java.nio.file.Files.createLink(file(p.toUri().getPath()).toPath(), file(aside.toUri().getPath()).toPath())
+    finally:
         fs.delete(aside, False)
-        raise FileExistsError(path)
+
+
+def _by_rename(spark: SparkSession, path: str, text: str) -> None:
+    """Written aside, then renamed without overwriting."""
+    jvm, (fs, p) = spark._jvm, _open(spark, path)
+    _, aside = _open(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    _write(fs.create(aside, False), text)
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+        rename = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        context.rename(aside, p, rename)
+    except Exception:
+        fs.delete(aside, False)
+        raise
+
+
+def _by_create(spark: SparkSession, path: str, text: str) -> None:
+    """Created in place; an object appears whole when its stream is closed, or not at all."""
+    fs, p = _open(spark, path)
+    make = fs.createFile(p).overwrite(False)
+    if p.toUri().getScheme() not in CREATES_ATOMICALLY:
+        if not fs.hasPathCapability(p, CONDITIONAL_CREATE):
+            raise RuntimeError(f"{path}: this store can neither rename nor create without overwriting in one step, "
+                               "so two writers could both commit; keep tables on one that can")
+        make = make.must(CONDITIONAL_CREATE, "true")
+    _write(make.build(), text)
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a new file in place whole, in one step that fails with ``FileExistsError`` if ``path``
+    exists: of two writers of one path, one succeeds."""
+    fs, p = _open(spark, path)
+    fs.mkdirs(p.getParent())
+    scheme = p.toUri().getScheme() or fs.getUri().getScheme()
+    place = _by_link if scheme == "file" else _by_rename if scheme in RENAMES_ATOMICALLY else _by_create
+    try:
+        place(spark, path, text)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName() or fs.exists(p):
+            raise FileExistsError(path) from e
+        raise
 
 
 def remove(spark: SparkSession, path: str) -> None:

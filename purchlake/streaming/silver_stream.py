@@ -29,50 +29,74 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.upsert import has_partitions, read_mark, read_table, upsert_by_key, upsert_partitions, write_snapshot
+from ..operators import keyed
+from ..operators.upsert import (Commit, CommitConflict, current_commit, has_partitions, merge_snapshot, read_commit,
+                                upsert_by_key, upsert_partitions, write_snapshot)
 from ..plans import silver
 from ..session import checkpoint_dir
 from ..sources import store
 
 
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A batch as a written table: merges read it more than once, and it can be a whole feed."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/batches/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame, table_path: str,
                 lookups=None, use_high_water_mark: bool = True, version: str | None = None,
-                partition: tuple[str, Column] | None = None) -> str:
+                partition: tuple[str, Column] | None = None, layout: keyed.Layout | None = None,
+                first_load: bool = False) -> str:
     """Apply one micro-batch (or any batch of feed rows) to the silver table.
 
+    layout: keep the table by key ranges and rewrite only those the batch touches.
     partition=(name, expr): keep the table partitioned by ``expr`` (a stable
     function of the business key, e.g. a document-number prefix) and rewrite
-    only the partitions the batch touches; otherwise every merge writes a new
-    snapshot of the whole table."""
+    only the partitions the batch touches; without either, every merge writes a
+    new snapshot of the whole table.
+    first_load: a table without any commit takes the whole history, rows without
+    an ingestion time included (the initial-load variants); else it is read
+    behind the mark of an empty table."""
     if partition is not None:
         name, expr = partition
         target = spark.read.parquet(table_path) if has_partitions(spark, table_path, name) else None
         fresh = silver.run(spec, batch, lookups, target=target, initial=not use_high_water_mark)
         upsert_partitions(spark, table_path, fresh.withColumn(name, expr), spec.keys, name, version=version)
         return table_path
-    target = read_table(spark, table_path)
-    if use_high_water_mark:
+    base = current_commit(spark, table_path)
+    if not use_high_water_mark or (first_load and base is None):
+        if first_load and base is None:
+            spec = silver.initial_form(spec)
+        fresh = silver.run(spec, batch, lookups, initial=True)
+    else:
         # the committed mark spares a scan of the whole table for max(ingestiontime)
-        mark = read_mark(spark, table_path)
-        fresh = silver.run(spec, batch, lookups, target=None if mark else target, mark=mark)
+        mark = base and base.mark
+        fresh = silver.run(spec, batch, lookups, target=None if mark else read_commit(spark, table_path, base), mark=mark)
+    if layout is None and base is None:
+        try:
+            return write_snapshot(fresh, table_path, mark_col="ingestiontime", base=None)
+        except CommitConflict:
+            pass  # another writer made the table meanwhile: merge into it
+    rows, folder = staged(fresh, spec.name)
+    if layout is not None:
+        keyed.merge(spark, table_path, layout, rows, version=version, mark_col="ingestiontime", overtaken="ingestiontime")
     else:
-        fresh = silver.run(spec, batch, lookups, initial=True)
-    if target is None:
-        return write_snapshot(fresh, table_path, mark_col="ingestiontime")
-    # the merge reads the batch twice, and a batch can be a whole feed: it is written, not cached
-    staged = f"{checkpoint_dir(spark).rstrip('/')}/batches/{spec.name}-{uuid.uuid4().hex[:12]}"
-    fresh.write.parquet(staged)
-    merged = upsert_by_key(target, spark.read.schema(fresh.schema).parquet(staged), spec.keys, version=version)
-    path = write_snapshot(merged, table_path, mark_col="ingestiontime")
-    store.remove(spark, staged)
-    return path
+        def merged(now: DataFrame, commit: Commit) -> DataFrame:
+            overtaken = base is None or commit.number != base.number
+            return upsert_by_key(now, rows, spec.keys, version=version or ("ingestiontime" if overtaken else None))
+
+        merge_snapshot(spark, table_path, merged, mark_col="ingestiontime")
+    store.remove(spark, folder)
+    return table_path
 
 
 def start(spark: SparkSession, spec: silver.SilverSpec, feed_path: str, table_path: str,
           lookups=None, checkpoint_location: str | None = None, available_now: bool = True,
           processing_time: str | None = None, max_files_per_trigger: int | None = None,
           use_high_water_mark: bool = False, version: str | None = "ingestiontime",
-          partition: tuple[str, Column] | None = None) -> StreamingQuery:
+          partition: tuple[str, Column] | None = None, layout: keyed.Layout | None = None) -> StreamingQuery:
     """Start the streaming load of one silver table from a parquet feed directory."""
     schema = spark.read.parquet(feed_path).schema
     reader = spark.readStream.schema(schema)
@@ -82,7 +106,7 @@ def start(spark: SparkSession, spec: silver.SilverSpec, feed_path: str, table_pa
     ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/{spec.name}"
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(spark, spec, batch, table_path, lookups, use_high_water_mark, version, partition)
+        merge_batch(spark, spec, batch, table_path, lookups, use_high_water_mark, version, partition, layout)
 
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
     if available_now:
