@@ -3,6 +3,8 @@
 import random
 import re
 import string
+import zlib
+from collections import Counter, defaultdict
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 WORDS = [a + b for a in ("ba", "ke", "lo", "mi", "nu", "ra", "se", "to") for b in ("n", "rt", "ss", "ve", "mp", "dal")]
@@ -87,7 +89,6 @@ def jaccard_components(rows):
 
 def repeated_bytes(texts, span=200):
     """Per text: which bytes lie in a string of ``span`` bytes that starts elsewhere too."""
-    from collections import Counter
     bodies = [(t or "").encode() for t in texts]
     seen = Counter(b[k:k + span] for b in bodies for k in range(len(b) - span + 1))
     out = []
@@ -98,3 +99,29 @@ def repeated_bytes(texts, span=200):
                 gone[k:k + span] = b"\1" * span
         out.append((b, gone))
     return out
+
+
+def check_packing(got, texts):
+    """Pieces against the tokenizer, gapless places; (sequences used, the least their tokens need)."""
+    import numpy as np
+    from purchlake.llm import genetic_packing
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(genetic_packing.tokenizer_path())
+    want = Counter()
+    for doc, text in texts:
+        ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        first = len(ids) % 2048 or 2048
+        cuts = [0, *range(first, len(ids) + 1, 2048)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    places = defaultdict(list)
+    for r in got:
+        places[r.sequence_id].append((r.offset, r.length))
+    for seq in places.values():
+        at = 0
+        for offset, length in sorted(seq):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    return len(places), -(-sum(r.length for r in got) // 2048)

@@ -58,31 +58,8 @@ def test_exact_dedup_group_over_partitions(spark):
     assert content_sort_dedup.drop_copies(df).count() == 2001
 
 
-def check_packing(got, texts):
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(genetic_packing.tokenizer_path())
-    want = Counter()
-    for doc, text in texts:
-        ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
-        first = len(ids) % 2048 or 2048
-        cuts = [0, *range(first, len(ids) + 1, 2048)]
-        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            want[doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
-    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
-    places = defaultdict(list)
-    for r in got:
-        places[r.sequence_id].append((r.offset, r.length))
-    for seq in places.values():
-        at = 0
-        for offset, length in sorted(seq):
-            assert offset == at
-            at += length
-        assert at <= 2048
-    return len(places), -(-sum(r.length for r in got) // 2048)
-
-
 def test_packing(docs):
-    n, least = check_packing(genetic_packing.pack(genetic_packing.pieces(docs)).collect(), [(r[0], r[1]) for r in ROWS])
+    n, least = corpus.check_packing(genetic_packing.pack(genetic_packing.pieces(docs)).collect(), [(r[0], r[1]) for r in ROWS])
     assert n <= least + 2
 
 

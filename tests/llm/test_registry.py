@@ -1,6 +1,7 @@
 """The registered queries and the pipeline at sf0.001, against SQL or brute force."""
 
 import os
+import re
 import sys
 
 import pytest
@@ -11,7 +12,6 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import compare  # noqa: E402
 import corpus  # noqa: E402
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
-from test_operators import check_packing  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,14 +19,15 @@ SF = "/root/testdata/sf0.001"
 def test_one_query_for_each_operator():
     names = [n for n in queries() if n.startswith("op")]
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n[2:].split("_")[0].isdigit())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in queries()
 
 
-def test_content_sort_matches_sql(spark):
+@pytest.mark.parametrize("name", sorted(n for n in oracle_sql() if re.match(r"op\d+_", n)))
+def test_matches_sql(spark, name):
     con = compare.duck(SF)
-    sql = oracle_sql()["op10_content_sort_dedup"]
-    df = queries()["op10_content_sort_dedup"](spark, SF)
+    sql = oracle_sql()[name]
+    df = queries()[name](spark, SF)
     cur = con.execute(sql)
     cols = [d[0] for d in cur.description]
     assert compare.digest(df.columns, [tuple(r) for r in df.collect()])[0] == compare.digest(cols, cur.fetchall())[0]
@@ -46,6 +47,9 @@ COLUMNS = {
         "grown_shard": "int"},
     9: {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
     10: {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
+    11: {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    12: {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"},
+    13: {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint", "rank": "int"},
 }
 
 
@@ -78,6 +82,6 @@ def test_pipeline_against_brute_force(spark):
     assert sorted(map(tuple, kept["n-gram Jaccard join"].collect())) == near
     mixed = [tuple(r) for r in kept["mixing to target weights"].collect()]
     assert set(mixed) == set(near)
-    n, least = check_packing(out.collect(), [(r[0], r[1]) for r in mixed])
+    n, least = corpus.check_packing(out.collect(), [(r[0], r[1]) for r in mixed])
     assert n <= least + 2
     assert queries()["pipeline"](spark, SF).count() == out.count()
