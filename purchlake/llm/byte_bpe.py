@@ -52,7 +52,9 @@ SCANNED = 64
 #: Characters of a text handled at once.
 BLOCK = 1 << 20
 #: Bytes that a worker remembers for matches met, in each of two generations; longer matches are not kept.
-REMEMBERED, LONGEST = 16 << 20, 512
+REMEMBERED, LONGEST = 64 << 20, 512
+#: Rank of a pair that is no token.
+NO_MERGE = 1 << 40
 #: Pairs of tokens whose meeting is remembered.
 PAIRS = 1 << 18
 #: Ids decoded at once.
@@ -84,22 +86,20 @@ class Encoder:
 
     def merged(self, data: bytes) -> list[int]:
         """The encoding by merging: lowest rank first, leftmost first."""
-        rank = self.ranks.get
         if len(data) > SCANNED:
             return self._merged_by_heap(data)
+        rank = self.ranks.get
         parts = [data[i:i + 1] for i in range(len(data))]
-        offers = [rank(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            best = min((r for r in offers if r is not None), default=None)
-            if best is None:
-                return [self.ranks[p] for p in parts]
+        offers = [rank(data[i:i + 2], NO_MERGE) for i in range(len(data) - 1)]
+        while offers and (best := min(offers)) != NO_MERGE:
             i = offers.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del offers[i]
+            whole = parts[i] = parts[i] + parts[i + 1]
+            del parts[i + 1], offers[i]
             if i:
-                offers[i - 1] = rank(parts[i - 1] + parts[i])
+                offers[i - 1] = rank(parts[i - 1] + whole, NO_MERGE)
             if i < len(offers):
-                offers[i] = rank(parts[i] + parts[i + 1])
+                offers[i] = rank(whole + parts[i + 1], NO_MERGE)
+        return [self.ranks[p] for p in parts]
 
     def _merged_by_heap(self, data: bytes) -> list[int]:
         n, rank = len(data), self.ranks.get
@@ -238,6 +238,15 @@ def patterns(pattern: str) -> tuple[str, str, str]:
     return (f"[{odd}]" if odd else r"(?!)"), pattern, careful
 
 
+def _latin(text: str) -> bool:
+    """Whether all characters lie below U+0100, where all versions of Unicode agree."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _blocks(text: str, seam) -> Iterator[str]:
     at = 0
     while len(text) - at > BLOCK:
@@ -265,7 +274,7 @@ def encode(df: DataFrame, text: str = "text", id_col: str = "doc_id", ranks: str
             for body in batch.column(1):
                 n = 0
                 for block in _blocks(body.as_py() or "", seam):
-                    cut = split_carefully if not block.isascii() and needs_care.search(block) else split
+                    cut = split_carefully if not _latin(block) and needs_care.search(block) else split
                     part = b"".join(map(known.__getitem__, cut.findall(block)))
                     coded.append(part)
                     n += len(part) // 4
