@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import re
 import string
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,10 +44,9 @@ ship(__name__)
 
 #: Fixed values of the definition: documents that hold a kept term, added to each count, scale of p, ranks of terms.
 LEAST_DOCS, ADDED, SCALE, TOP = 10, 2, 1_000_000_000, 10
-TERMS = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+TERMS = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 #: Entries of a task's tally before they are handed on.
-TALLY = 200_000
+TALLY = 500_000
 #: Texts longer than this are read match by match.
 LONG_TEXT = 1 << 22
 #: Counts (term, source) of a block of the vocabulary, about.
@@ -55,39 +54,42 @@ BLOCK = 1 << 20
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    occurrences: Counter = Counter()
-    documents: Counter = Counter()
-
-    def out() -> pa.RecordBatch:
-        lang, source, term = zip(*occurrences) if occurrences else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.string()),
-             pa.array(list(occurrences.values()), pa.int64()), pa.array([documents[k] for k in occurrences], pa.int64())],
-            names=["lang", "source", "term", "n", "docs"])
+    """Terms are counted as bytes: each byte of a character beyond ASCII belongs to a term, so the
+    pattern finds the same terms, and lower-casing bytes changes A-Z only."""
+    occurrences: defaultdict = defaultdict(Counter)
+    documents: defaultdict = defaultdict(Counter)
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, source), counts in occurrences.items():
+            terms = list(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()),
+                 pa.array(terms, pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64()),
+                 pa.array(list(map(documents[lang, source].__getitem__, terms)), pa.int64())],
+                names=["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
         for lang, source, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            text = body.as_py()
-            found = Counter(TERMS.findall(text) if len(text) < LONG_TEXT else (m[0] for m in TERMS.finditer(text)))
-            here: dict[str, int] = {}
-            for term, n in found.items():
-                low = term.lower() if term.isascii() else term.translate(LOWER)
-                here[low] = here.get(low, 0) + n
-            for term, n in here.items():
-                key = lang, source, term
-                occurrences[key] += n
-                documents[key] += 1
-            if len(occurrences) > TALLY:
-                yield out()
-                occurrences.clear()
-                documents.clear()
-    yield out()
+            text = body.as_py().lower()
+            if len(text) < LONG_TEXT:
+                found = TERMS.findall(text)
+                occurrences[lang, source].update(found)
+                documents[lang, source].update(set(found))
+            else:
+                found = Counter(m[0] for m in TERMS.finditer(text))
+                occurrences[lang, source].update(found)
+                documents[lang, source].update(found.keys())
+        if sum(map(len, occurrences.values())) > TALLY:
+            yield from out()
+            occurrences.clear()
+            documents.clear()
+    yield from out()
 
 
 def count_terms(df: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences and documents of each term in each source."""
     small_batches(df.sparkSession)
-    return (df.mapInArrow(frugal(_tally), "lang string, source string, term string, n long, docs long")
+    return (df.select("lang", "source", F.col("text").cast("binary")).mapInArrow(frugal(_tally), "lang string, source string, term string, n long, docs long")
             .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
 
@@ -211,11 +213,10 @@ def audit(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "
     scarce_first = Window.partitionBy("lang").orderBy(F.coalesce("mass", F.lit(0)), "source")
     groups = stored(groups.select("lang", "source", (F.row_number().over(scarce_first) - 1).alias("src")), "groups")
 
-    counted = counts.join(groups, ["lang", "source"])
+    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= LEAST_DOCS).drop("docs")
+    counted = counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"]).join(groups, ["lang", "source"])
     terms = stored(counted.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"),
-        F.sort_array(F.collect_list(F.struct("src", "n"))).alias("counts"))
-        .where(F.col("docs") >= LEAST_DOCS).drop("docs"), "kept-terms")
+        F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("src", "n"))).alias("counts")), "kept-terms")
     entries = terms.select("lang", "term", "total", F.explode("counts").alias("c")).select(
         "lang", "term", "total", "c.src", "c.n")
     langs = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("lang_total"))
