@@ -22,6 +22,7 @@ whole.  An empty table gives no rows.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -48,36 +49,147 @@ INJECTED = 0.3
 BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: The tokenizer never joins a non-blank to a blank after it, so these parts can be encoded alone.
 PARTS = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
-CLOSERS = frozenset(",.;:!?")
-#: Parts whose ids a worker remembers in each of two generations, at most.
-REMEMBERED = 300_000
-
-
-class Ids(dict):
-    """Text part -> its ids as little-endian 32-bit numbers.
-
-    When the younger generation is full it becomes the older one; parts met again move back."""
+#: The tokenizer's own cut of a text, as its file states it.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SEAM = re.compile(f"(?<=[^{BLANK}])[{BLANK}]")
+#: Bytes of parts and ids that a worker remembers in each of two generations, about; longer parts are not kept.
+REMEMBERED, LONGEST = 32 << 20, 256
+#: Characters of a text handled at once, and of new parts encoded at once.
+BLOCK_CHARS, ENCODED = 1 << 20, 1 << 16
+
+
+def by_rank(path: str):
+    """The tokenizer's merges as ranks, run by a faster library; None if its file is not of that kind.
+
+    The file lists merges by priority, each making the next id.  Running them lowest id first gives the
+    same ids: a pair that makes a token by another split than the listed one would have to stand as
+    [u, v] in the run over the token's own bytes, which has but one state of two parts, the listed split."""
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocabulary = model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
+        return None
+    # byte-level files write a byte as a printable character: itself, or the next one from U+0100 on
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte = {chr(x): x for x in shown} | {chr(0x100 + i): x for i, x in enumerate(x for x in range(256) if x not in shown)}
+    single = [t for t in vocabulary if len(t) == 1]
+    ranks = {bytes(byte[c] for c in t): vocabulary[t] for t in [*single, *(a + b for a, b in merges)]}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+class Ids:
+    """Ids of texts as little-endian 32-bit numbers, by their parts.
+
+    New parts are strung together and encoded in one call; as no id crosses from a
+    non-blank to a blank after it, the ids fall apart again where the parts meet.
+    Parts beyond Latin-1, where versions of Unicode may differ, and parts with one of the
+    tokenizer's own signs go to the tokenizer itself.  When the younger generation of
+    known parts is full it becomes the older one."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.ranked = by_rank(path)
+        vocabulary = self.tokenizer.get_vocab()  # byte-level: one character of a token is one byte
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+        signs = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.sign = re.compile("|".join(map(re.escape, signs)) or "(?!)")
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self.older.get(part)
-        if ids is None:
-            if len(part) > 2 and part[-1] in CLOSERS and part[-2].isalpha():
-                ids = self[part[:-1]] + self[part[-1]]  # letters and signs never share an id
+        self.held = 0
+
+    def alone(self, part: str) -> bytes:
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+    def together(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts that start with a blank and end with a non-blank."""
+        text = "".join(parts)
+        if self.ranked is None or self.sign.search(text):
+            return [self.alone(p) for p in parts]
+        ids = np.array(self.ranked.encode_ordinary(text), np.uint32)
+        ends = np.cumsum(self.sizes[ids])
+        wanted = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in parts])
+        cuts = np.searchsorted(ends, wanted)
+        coded, cuts = ids.tobytes(), (4 * (cuts + 1)).tolist()
+        return [coded[x:y] for x, y in zip([0, *cuts], cuts)]
+
+    def _keep(self, part: str, ids: bytes) -> None:
+        self.known[part] = ids
+        self.held += 200 + 2 * len(part) + len(ids)
+
+    def learn(self, parts: set[str]) -> None:
+        """Make every part of up to LONGEST characters known."""
+        if self.held > REMEMBERED:
+            self.older, self.known, self.held = self.known, {}, 0
+        joined: list[str] = []
+        size = 0
+        for part in parts:
+            if part in self.known or len(part) > LONGEST:
+                continue
+            ids = self.older.get(part)
+            if ids is not None:
+                self._keep(part, ids)
+            elif part[0] not in BLANK or part[-1] in BLANK or not _latin(part):
+                self._keep(part, self.alone(part))
             else:
-                ids = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
-        if len(self) >= REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        self[part] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, PARTS.findall(text)))
+                joined.append(part)
+                size += len(part)
+                if size > ENCODED:
+                    for p, ids in zip(joined, self.together(joined)):
+                        self._keep(p, ids)
+                    joined, size = [], 0
+        if joined:
+            for p, ids in zip(joined, self.together(joined)):
+                self._keep(p, ids)
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        split = [PARTS.findall(t) for t in texts]
+        self.learn(set().union(*split))
+        known = self.known
+        return [b"".join([known[p] if len(p) <= LONGEST else self.alone(p) for p in parts]) for parts in split]
+
+
+def _latin(text: str) -> bool:
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+    return True
+
+
+def _groups(texts: Iterator[str]) -> Iterator[tuple[list[str], bool]]:
+    """(texts, whether the last one ends here): texts of about a block together, a longer text by
+    blocks that start where a blank follows a non-blank."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        at = 0
+        while len(text) - at > BLOCK_CHARS and (seam := SEAM.search(text, at + BLOCK_CHARS)):
+            yield [*group, text[at:seam.start()]], False
+            group, size, at = [], 0, seam.start()
+        group.append(text[at:] if at else text)
+        size += len(group[-1])
+        if size > BLOCK_CHARS:
+            yield group, True
+            group, size = [], 0
+    if group:
+        yield group, True
+
+
+def coded_texts(ids: Ids, texts: Iterator[str]) -> Iterator[bytes]:
+    """The ids of each text."""
+    head: list[bytes] = []
+    for group, ended in _groups(texts):
+        coded = ids.of(group)
+        for k, part in enumerate(coded):
+            head.append(part)
+            if ended or k + 1 < len(coded):
+                yield b"".join(head)
+                head = []
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -98,8 +210,9 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
         ids = Ids(tokenizer or tokenizer_path())
         for batch in batches:
             cols: list[list] = [[] for _ in range(5)]
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                coded = ids.of(body.as_py() or "") + closing
+            texts = (body.as_py() or "" for body in batch.column(1))
+            for doc, coded in zip(batch.column(0).to_pylist(), coded_texts(ids, texts)):
+                coded += closing
                 n = len(coded) // 4
                 start, no = 0, 0
                 while start < n:
@@ -111,7 +224,7 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              names=[f.split()[0] for f in PIECES.split(", ")])
 
-    return df.select(df[id_col].cast("long"), df[text].cast("string")).mapInArrow(frugal(cut), PIECES)
+    return df.select(df[f"`{id_col}`"].cast("long"), df[f"`{text}`"].cast("string")).mapInArrow(frugal(cut), PIECES)
 
 
 class BestFit:

@@ -114,11 +114,36 @@ def test_crossover_keeps_each_piece_once():
     assert len(child) == 300 and np.bincount(child, size).max() <= 100
 
 
-def test_ids_of_parts_are_ids_of_the_text():
-    ids = genetic_packing.Ids(genetic_packing.tokenizer_path())
+def test_ids_of_parts_are_ids_of_the_text(monkeypatch):
+    rng = random.Random(8)
     texts = [r[1] or "" for r in corpus.corpus()] + ["a  b\n\n c \u00a0x<|endoftext|> y", "  <|endoftext|>\t\tz ", "\x1c a\x85b"]
-    for t in texts:
-        assert ids.of(t) == np.array(ids.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    texts += ["".join(rng.choice("ab é\u00a0\n\t.,'s1 日ǆ\u2003\u200b") for _ in range(rng.randrange(80))) for _ in range(300)]
+    texts += ["x" * 3000, "".join(rng.choice("ABCDabcd0123+/") for _ in range(5000)), " don't we'll I'd  've ''s !!'re"]
+    for block in (genetic_packing.BLOCK_CHARS, 50):
+        monkeypatch.setattr(genetic_packing, "BLOCK_CHARS", block)
+        monkeypatch.setattr(genetic_packing, "REMEMBERED", 10 * block)
+        ids = genetic_packing.Ids(genetic_packing.tokenizer_path())
+        got = list(genetic_packing.coded_texts(ids, iter(texts)))
+        assert len(got) == len(texts)
+        for t, coded in zip(texts, got):
+            assert coded == np.array(ids.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert list(genetic_packing.coded_texts(ids, iter([]))) == []
+
+
+def test_every_token_is_made_by_its_listed_merge():
+    """What by_rank rests on: the listed merges, run over a token's own bytes, give that token."""
+    import json
+    with open(genetic_packing.tokenizer_path(), encoding="utf-8") as f:
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in json.load(f)["model"]["merges"]]
+    order = {m: i for i, m in enumerate(merges)}
+    for a, b in merges:
+        parts = list(a + b)
+        while len(parts) > 1:
+            at = min(range(len(parts) - 1), key=lambda i: order.get((parts[i], parts[i + 1]), 1 << 40))
+            assert (parts[at], parts[at + 1]) in order
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            if len(parts) == 2:
+                assert tuple(parts) == (a, b)
 
 
 def _moved_bytes(sizes, moves, n_new):
@@ -283,7 +308,7 @@ def test_small_world_finds_links():
 
 def test_crc_is_of_little_endian_ids():
     ids = genetic_packing.Ids(genetic_packing.tokenizer_path())
-    coded = ids.of("a b")
+    coded, = ids.of(["a b"])
     assert zlib.crc32(coded) == zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids.tokenizer.encode("a b").ids))
 
 
