@@ -9,8 +9,8 @@ collected whole into one task.
 ``preferred_match`` picks, for each left row, the best right row among those
 sharing a key, by a priority (same plant > NULL plant > any other).  Instead
 of joining all candidates and ranking the pairs (quadratic for a hot key) it
-reduces the right side to at most one candidate per (key, class) first and
-then does three at-most-one-row joins.
+reduces the right side to one row per key, which holds the best row of every
+class, and joins that once.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from .enrich import split_key
+from .enrich import lookup
 
 RN = "__rn"
 
@@ -41,10 +42,51 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return df.withColumn(RN, F.row_number().over(w)).filter(F.col(RN) == 1).drop(RN)
 
 
-def preferred_match(left: DataFrame, right: DataFrame, key: tuple[str, str],
-                    attr: tuple[str, str], tie_breakers: Sequence[Column | str],
+def _smallest_first(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """Columns by which the row that comes first in ``order`` is the smallest; "-name" is descending, NULL last."""
+    out: list[Column] = []
+    for name in order:
+        c = F.col(name.removeprefix("-"))
+        if not name.startswith("-"):
+            out.append(c)
+            continue
+        kind = df.schema[name[1:]].dataType
+        if isinstance(kind, TimestampNTZType):
+            value = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{name[1:]}`)")
+        elif isinstance(kind, TimestampType):
+            value = F.unix_micros(c)
+        elif isinstance(kind, DateType):
+            value = F.unix_date(c)
+        elif isinstance(kind, NumericType):
+            value = c
+        else:
+            raise TypeError(f"{name}: only numbers and times can be descending")
+        out += [c.isNull(), -value]
+    return out
+
+
+def best_of_each_class(df: DataFrame, key: str, attr: str, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """One row per (non-NULL) key: ``same``, a map from attribute to its best row; ``none``, the best row
+    without attribute; ``first``, the best of all.
+
+    The best per (key, attribute) is a partial aggregate before the shuffle, so each task
+    sends at most one row per pair; the second aggregation reads those rows only.  A
+    map has as many entries as the key has attributes (plants)."""
+    rank = _smallest_first(df, order)
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    best = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(rank)], row.alias("row"))
+    reduced = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key"), F.col(attr).alias("attr")).agg(F.min(best).alias("best"))
+    known = F.col("attr").isNotNull()
+    # collect_list leaves NULLs out
+    same = F.map_from_entries(F.collect_list(F.when(known, F.struct("attr", F.col("best.row").alias("row")))))
+    return reduced.groupBy("key").agg(
+        same.alias("same"), F.any_value(F.when(~known, F.col("best.row")), True).alias("none"),
+        F.min("best").getField("row").alias("first"))
+
+
+def preferred_match(left: DataFrame, right: DataFrame, key: tuple[str, str], attr: tuple[str, str], order: Sequence[str],
                     right_cols: Sequence[str], rename: dict[str, str] | None = None,
-                    prefix: str = "__pm_", split: int = 8) -> DataFrame:
+                    hot: Column | None = None) -> DataFrame:
     """Left-join each left row to its preferred right row.
 
     key  = (left key column, right key column): candidates share it.
@@ -52,48 +94,17 @@ def preferred_match(left: DataFrame, right: DataFrame, key: tuple[str, str],
       priority 1: right attr == left attr
       priority 2: right attr IS NULL
       priority 3: any other right row
-    Within a priority the first row by ``tie_breakers`` wins.  Left rows with
-    no candidate keep NULLs.  ``right_cols`` are appended, renamed by
-    ``rename``.
-
-    Equivalent to ``left LEFT JOIN right ON key`` ranked by
-    (priority, tie_breakers) and filtered to rank 1, without materialising
-    the candidate pairs: each of the three joins has at most one right row
-    per key, so a hot key cannot multiply rows.  The reduced right sides arrive
-    partitioned by the key, which keeps adaptive execution from splitting a hot
-    key; ``split`` deals each key (and the NULL keys) of the left side to so
-    many partitions instead."""
-    lk, rk = key
-    la, ra = attr
+    Within a priority the first row by ``order`` (column names, "-name" for
+    descending) wins.  Left rows with no candidate keep NULLs.  ``right_cols`` are
+    appended, renamed by ``rename``.  ``hot``: as in ``lookup``.
+
+    Equivalent to ``left LEFT JOIN right ON key`` ranked by (priority, order) and
+    filtered to rank 1, without the candidate pairs.  Where neither the own nor the NULL
+    attribute has a row, every row has another attribute, so the best of all is the best other."""
     rename = rename or {}
-    keep = list(dict.fromkeys([rk, ra, *right_cols]))
-    order = _cols(tie_breakers)
-    r = right
-
-    # class 1: best row per (key, attr) with non-NULL attr
-    exact = latest_per_key(r.where(F.col(ra).isNotNull()), [rk, ra], [], order)
-    # class 2: best row per key with NULL attr
-    nulls = latest_per_key(r.where(F.col(ra).isNull()), [rk], [], order)
-    # class 3: best row per key among non-NULL attrs (used only when class 1 and 2 miss,
-    # in which case every non-NULL attr differs from the left one).  The best
-    # of the per-(key, attr) winners is the best overall, so reduce those.
-    other = latest_per_key(exact, [rk], [], order)
-
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(f"{prefix}{tag}_{c}") for c in keep])
-
-    e, n, o = side(exact, "e"), side(nulls, "n"), side(other, "o")
-    out = left
-    for tag, d in (("e", e), ("n", n), ("o", o)):
-        cond = F.col(lk) == F.col(f"{prefix}{tag}_{rk}")
-        if tag == "e":
-            cond = cond & (F.col(la) == F.col(f"{prefix}e_{ra}"))
-        if split > 1:
-            d, cond = split_key(left, d, cond, split, f"{prefix}{tag}_part", left.columns)
-        out = out.join(d, cond, "left")
-    has_e = F.col(f"{prefix}e_{rk}").isNotNull()
-    has_n = F.col(f"{prefix}n_{rk}").isNotNull()
-    picked = [F.when(has_e, F.col(f"{prefix}e_{c}"))
-               .when(has_n, F.col(f"{prefix}n_{c}"))
-               .otherwise(F.col(f"{prefix}o_{c}")).alias(rename.get(c, c)) for c in right_cols]
-    return out.select(*[F.col(c) for c in left.columns], *picked)
+    sides = best_of_each_class(right, key[1], attr[1], order, right_cols)
+    out = lookup(left, sides, [(key[0], "key")], {f"__pm_{c}": c for c in ("same", "none", "first")}, hot=hot,
+                 salt_cols=left.columns)
+    picked = F.coalesce(F.try_element_at("__pm_same", F.col(attr[0])), F.col("__pm_none"), F.col("__pm_first"))
+    return (out.withColumn("__pm_row", picked)
+            .select(*left.columns, *[F.col(f"__pm_row.c{i}").alias(rename.get(c, c)) for i, c in enumerate(right_cols)]))

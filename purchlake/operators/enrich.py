@@ -42,19 +42,43 @@ def _row_salt(df: DataFrame, salt_cols: Sequence[str] | None = None) -> Column:
     return F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in names]).cast("string"))
 
 
-def split_key(df: DataFrame, dim: DataFrame, cond: Column, split: int, name: str,
-              salt_cols: Sequence[str] | None = None) -> tuple[DataFrame, Column]:
-    """``dim`` repeated ``split`` times under ``name``, and ``cond`` with the part that a row of ``df`` meets."""
+def _key_hash(keys: Sequence[Column]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], tracked: int = 10_000) -> Column:
+    """The keys of ``df`` that hold more rows than a shuffle partition's share, as a map from the
+    key's hash to the number of partitions its rows should fill.
+
+    A scalar subquery: one pass over the key columns, with a frequent-items sketch
+    of fixed size per task, when the query runs.  Keys with a NULL part match nothing and
+    are left out.  A key just below the sketch's error (3.5 rows in ``tracked`` or so) may be missed;
+    it is then no hotter than that share."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = None
+    for k in keys:
+        known = F.col(k).isNotNull() if known is None else known & F.col(k).isNotNull()
+    most = max(1, min(parts, 1000))  # no more keys than partitions can exceed a partition's share
+    seen = df.where(known).agg(F.call_function("approx_top_k", _key_hash([F.col(k) for k in keys]), F.lit(most), F.lit(tracked)).alias("top"),
+                               F.count("*").alias("n"))
+    return seen.select(F.expr(
+        f"map_from_entries(transform(filter(top, x -> x.count * {parts} > n), "
+        f"x -> struct(x.item, cast(least(ceil(x.count * {parts} / n), {parts}) as int))))").alias("hot")).scalar()
+
+
+def deal_hot(df: DataFrame, dim: DataFrame, cond: Column, hot: Column, left: Sequence[Column], right: Sequence[Column],
+             name: str, salt_cols: Sequence[str] | None = None) -> tuple[DataFrame, Column]:
+    """``dim`` with its rows of hot keys repeated under ``name``, and ``cond`` with the part that a row of ``df`` meets."""
     names = salt_cols or [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in names]), F.lit(split)).cast("int")
-    return (dim.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(split - 1)))),
-            cond & (part == F.col(name)))
+    parts = lambda keys: F.coalesce(F.try_element_at(hot, _key_hash(keys)), F.lit(1))
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in names]), parts(left)).cast("int")
+    return dim.withColumn(name, F.explode(F.sequence(F.lit(0), parts(right) - 1))), cond & (part == F.col(name))
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]],
            cols: Mapping[str, str], where: Column | None = None, gate: Column | None = None,
            null_safe: bool = False, spread_null_keys: bool = True,
-           salt_cols: Sequence[str] | None = None, split: int = 1) -> DataFrame:
+           salt_cols: Sequence[str] | None = None, hot: Column | None = None) -> DataFrame:
     """``df LEFT JOIN dim ON df.l = dim.r [AND where(dim)] [AND gate(df)]``.
 
     on:        pairs (left column or expression, dimension column)
@@ -63,10 +87,10 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]]
                ``df``).  Give the same set to consecutive lookups on the same
                keys so the shuffle partitioning is reused between them; turn
                ``spread_null_keys`` off for keys that cannot be NULL.
-    split:     deal the rows of each key to so many shuffle partitions, and
-               repeat the dimension as often.  For dimensions that are a top-1
-               or an aggregate on the join key: those arrive partitioned by it,
-               so adaptive execution cannot split a hot key of ``df``.
+    hot:       ``hot_keys`` of ``df`` over the same keys: their rows are dealt to several
+               shuffle partitions, and the dimension's rows of just those keys repeated.
+               For dimensions that are a top-1 or an aggregate on the join key: those
+               arrive partitioned by it, so adaptive execution cannot split a hot key of ``df``.
     """
     tag = f"__lk{next(_tags)}_"
     d = dim if where is None else dim.where(where)
@@ -93,7 +117,10 @@ def lookup(df: DataFrame, dim: DataFrame, on: Sequence[tuple[str | Column, str]]
         cond = c if cond is None else cond & c
     if gate is not None:
         cond = cond & gate
-    if split > 1:
-        d, cond = split_key(df, d, cond, split, tag + "part", salt_cols)
+    if hot is not None:
+        for left, right in on:
+            if df.schema[left].dataType != dim.schema[right].dataType:
+                raise TypeError(f"{left}, {right}: hot keys are told apart by hash, so both sides need one type")
+        d, cond = deal_hot(df, d, cond, hot, [F.col(l) for l, _ in on], [F.col(tag + r) for _, r in on], tag + "part", salt_cols)
         right_keys.append("part")
     return df.join(d, cond, "left").drop(*[tag + c for c in right_keys])

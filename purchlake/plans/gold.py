@@ -33,12 +33,10 @@ from ..fixed import (CONDITION_TOTALS, CREDIT_CODE, DELIVERED, FIRST_SCHEDULE_LI
                      LOCAL_CURRENCY, RECEIPT_MOVEMENTS, RELEASED, SUPPLIER_FROM)
 from ..operators.aggregate import conditional_sum, converted_sum, signed_sum
 from ..operators.dedup import latest_per_key, preferred_match
-from ..operators.enrich import lookup
+from ..operators.enrich import hot_keys, lookup
 from ..operators.incremental import DEFAULT_FLOOR, DEFAULT_LOOKBACK, since
 
 MART_AUDIT = "last_main_silver_modified_dt"
-#: Partitions that the rows of one (material, plant) are dealt to in the price lookup.
-HOT_SPLIT = 16
 ENVELOPE_OUT = ["ingestiontime", "isinsert", "isupsert", "isdelete", "changetype"]
 
 
@@ -146,9 +144,8 @@ def mart_info_record(items: DataFrame, info: DataFrame, headers: DataFrame,
              "materialplanneddeliverydurn", "pricevalidityenddate", *ENVELOPE_OUT]
     rename = {c: f"i_{c}" for c in right}
     m = preferred_match(po, i, key=("purchasinginforecord", "purchasinginforecord"), attr=("plant", "plant"),
-                        tie_breakers=[F.desc("ingestiontime"), F.asc("purchasingorganization"),
-                                      F.asc("purchasinginforecordcategory"), F.asc("plant")],
-                        right_cols=right, rename=rename)
+                        order=["-ingestiontime", "purchasingorganization", "purchasinginforecordcategory", "plant"],
+                        right_cols=right, rename=rename, hot=hot_keys(po, ["purchasinginforecord"]))
     m = m.withColumn("i_pricevalidityenddate", open_end_date("i_pricevalidityenddate"))
     h = _headers(headers)
     out = lookup(m, h, [("purchasingdocument", "purchasingdocument")],
@@ -251,7 +248,7 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
                                       "po_actual_value"]}, salt_cols=item_id)
     f = lookup(f, lm, [("material", "material"), ("plant", "plant")],
                {"lm_price": "price_per_unit", "lm_date": "lm_date", "lm_doc": "lm_doc"}, salt_cols=item_id,
-               split=HOT_SPLIT)
+               hot=hot_keys(po, ["material", "plant"]))
     f = lookup(f, ar, [("pr_uid", "purchasereqnitemuniqueid")], {"ar_updatedate": "updatedate"},
                salt_cols=item_id)
     f = lookup(f, units, [("orderquantityunit", "unitofmeasure")], {"uom_p": "unitofmeasure_e"})

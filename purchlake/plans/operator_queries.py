@@ -18,7 +18,7 @@ from ..functions import (coalesce_default, ntz, concat_strict, date_diff_days, l
                          null_or_empty_flag, open_end_date, parse_compact_date, parse_compact_ts,
                          remaining_qty, remaining_value, safe_ratio, substr_from, to_local, uom_to_base,
                          uom_to_target)
-from ..operators import (Field, conditional_sum, conform, converted_sum, latest_per_key, lookup,
+from ..operators import (Field, conditional_sum, conform, converted_sum, hot_keys, latest_per_key, lookup,
                          preferred_match, require_keys, signed_sum, since, upsert_by_key)
 from ..operators.incremental import high_water_mark
 from ..sources import FEEDS, Lookups, Tables
@@ -323,7 +323,7 @@ def latest_price_lookup(spark, sf):
                                                                      "l_shipdate", *L_KEYS),
                          ["l_partkey", "plant"], [F.desc("l_shipdate")], [F.desc("l_orderkey"), F.desc("l_linenumber")])
     return lookup(li.select(*L_KEYS, "l_partkey", "plant"), top, [("l_partkey", "l_partkey"), ("plant", "plant")],
-                  {"latest_price": "l_extendedprice"}, split=16)
+                  {"latest_price": "l_extendedprice"}, hot=hot_keys(li, ["l_partkey", "plant"]))
 
 
 @op("preferred_match", O.sql(f"""SELECT l_orderkey, l_linenumber, inforecord, info_plant, info_org FROM (
@@ -344,12 +344,11 @@ def preferred_match_query(spark, sf):
                              tag("P", F.col("l_suppkey") % 5).alias("plant"))
     info = FEEDS["ziinforecorgdata"](t).where(F.col("isdelete") == F.lit(False))
     m = preferred_match(left, info, key=("inforecord", "purchasinginforecord"), attr=("plant", "plant"),
-                        tie_breakers=[F.desc("ingestiontime"), F.asc("purchasingorganization"),
-                                      F.asc("purchasinginforecordcategory"), F.asc("plant"),
-                                      F.desc("changesequence")],
+                        order=["-ingestiontime", "purchasingorganization", "purchasinginforecordcategory", "plant",
+                               "-changesequence"],
                         right_cols=["purchasinginforecord", "plant", "purchasingorganization"],
                         rename={"purchasinginforecord": "i_rec", "plant": "info_plant",
-                                "purchasingorganization": "info_org"})
+                                "purchasingorganization": "info_org"}, hot=hot_keys(left, ["inforecord"]))
     return m.select(*L_KEYS, F.col("i_rec").alias("inforecord"), "info_plant", "info_org")
 
 

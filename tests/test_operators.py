@@ -6,11 +6,12 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from purchlake.functions import (late_days, parse_compact_date, parse_compact_ts, remaining_qty, safe_ratio,
                                  substr_from, uom_to_target, concat_strict, null_or_empty_flag)
-from purchlake.operators import (Field, conform, latest_per_key, lookup, preferred_match, signed_sum, since,
+from purchlake.operators import (Field, conform, hot_keys, latest_per_key, lookup, preferred_match, signed_sum, since,
                                  upsert_by_key)
 from purchlake.operators.checks import duplicate_keys, fan_out_report
 
@@ -159,11 +160,37 @@ def test_preferred_match_equals_rank_over_all_pairs(spark, seed):
     right = [(f"R{rnd.randrange(5)}", rnd.choice(plants), rnd.randrange(4), f"id{j:03d}") for j in range(40)]
     ldf = spark.createDataFrame(left, "lid int, rec string, plant string")
     rdf = spark.createDataFrame(right, "rec string, plant string, ts int, rid string")
-    got = preferred_match(ldf, rdf, ("rec", "rec"), ("plant", "plant"), [F.desc("ts"), F.asc("rid")],
-                          ["rid"])
+    got = preferred_match(ldf, rdf, ("rec", "rec"), ("plant", "plant"), ["-ts", "rid"], ["rid"],
+                          hot=hot_keys(ldf, ["rec"]) if seed == 3 else None)
     assert {r.lid: r.rid for r in got.collect()} == _brute_preferred(left, right)
 
 
+def test_preferred_match_orders_like_a_ranking(spark):
+    """Descending times, ties, missing times last; against the window formulation."""
+    rnd = random.Random(9)
+    ts = [None, *(T0 + dt.timedelta(hours=h) for h in range(3))]
+    right = [(f"R{rnd.randrange(5)}", rnd.choice(["P0", "P1", None]), rnd.choice(ts), rnd.choice(["a", None, "b"]), j) for j in range(90)]
+    left = [(i, rnd.choice([f"R{rnd.randrange(6)}", None]), rnd.choice(["P0", "P1", "P2", None])) for i in range(120)]
+    ldf = spark.createDataFrame(left, "lid int, rec string, plant string")
+    for kind in ("timestamp", "timestamp_ntz"):
+        rdf = spark.createDataFrame(right, f"rec string, plant string, ts timestamp, org string, id int").withColumn("ts", F.col("ts").cast(kind))
+        got = preferred_match(ldf, rdf, ("rec", "rec"), ("plant", "plant"), ["-ts", "org", "-id"], ["id"], rename={"id": "best"})
+        assert got.columns == ["lid", "rec", "plant", "best"]
+        r = rdf.select(F.col("rec").alias("r"), F.col("plant").alias("p"), "ts", "org", "id")
+        prio = F.when(F.col("plant") == F.col("p"), 1).when(F.col("p").isNull(), 2).otherwise(3)
+        w = Window.partitionBy("lid").orderBy(prio, F.desc("ts"), F.asc("org"), F.desc("id"))
+        want = (ldf.join(r, F.col("rec") == F.col("r"), "left").withColumn("rn", F.row_number().over(w)).where("rn = 1"))
+        assert {x.lid: x.best for x in got.collect()} == {x.lid: x.id for x in want.collect()}
+
+
+def test_preferred_match_moves_candidates_once(spark):
+    left = spark.range(50).select("id", F.lit("r").alias("rec"), F.lit("p").alias("plant"))
+    right = spark.range(50).select(F.lit("r").alias("rec"), F.lit("p").alias("plant"), "id")
+    plan = preferred_match(left, right, ("rec", "rec"), ("plant", "plant"), ["-id"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (0, 50") == 2 and "Window" not in plan and "Generate" not in plan
+    assert sum("Join" in x for x in plan.split("\n")) == 1
+
+
 def test_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     assert rows(duplicate_keys(df, ["k"]), "k", "n_rows") == [(1, 2)]
