@@ -9,12 +9,12 @@ QUERIES = {
     "op1_genetic_packing": (genetic_packing.query, None),
     "op2_license_rules": (license_rules.query, None),
     "op3_temperature_mixing": (temperature_mixing.query, None),
-    "op4_suffix_dedup": (suffix_dedup.query, None),
-    "op5_ngram_jaccard_join": (ngram_join.query, None),
+    "op4_suffix_dedup": (suffix_dedup.query, suffix_dedup.SQL),
+    "op5_ngram_jaccard_join": (ngram_join.query, ngram_join.SQL),
     "op6_language_bits": (language_bits.query, None),
     "op7_pii_anchors": (pii_anchors.query, None),
     "op8_min_cost_reshard": (reshard.query, None),
-    "op9_small_world": (small_world.query, None),
+    "op9_small_world": (small_world.query, small_world.SQL),
     "op10_content_sort_dedup": (content_sort_dedup.query, content_sort_dedup.SQL),
     "op11_byte_bpe": (byte_bpe.query, None),
     "op12_pivotal_grams": (spelling_variants.query, spelling_variants.SQL),

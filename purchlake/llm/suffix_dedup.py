@@ -570,3 +570,25 @@ def remove_repeats(df: DataFrame, text: str = "text", id_col: str = "doc_id") ->
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (SELECT rid, n, k, substr(h, 2000 * k + 1, 2398) AS c FROM (SELECT *, unnest(range(0, (n + 800) // 1000)) AS k FROM docs WHERE n >= 200)),
+starts AS (SELECT rid, k, c, unnest(range(0, least(1000, n - 199 - 1000 * k))) AS j FROM blocks),
+windows AS (SELECT rid, 1000 * k + j AS i, md5_number(substr(c, 2 * j + 1, 400)) AS w FROM starts),
+repeated AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+hits AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM windows SEMI JOIN repeated USING (w)),
+runs AS (SELECT rid, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS run FROM hits),
+spans AS (SELECT rid, min(i) AS a, max(i) + 200 AS b FROM runs GROUP BY rid, run),
+gaps AS (
+  SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS from_, max(b) OVER (PARTITION BY rid) AS tail FROM spans),
+cut AS (
+  SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed,
+         string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) || substr(any_value(h), 2 * max(tail) + 1) AS kept
+  FROM gaps JOIN docs USING (rid) GROUP BY rid)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (rid)
+"""
