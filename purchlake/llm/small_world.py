@@ -2,11 +2,11 @@
 
 Vectors are dealt to shards; each shard builds a small-world graph in layers.
 Every vector then queries every shard: it descends the layers to a close
-entry point and follows a beam through the lowest one.  A beam that ends full
-of links is doubled until it holds one that is none.  Each shard audits itself
-on a sample of its vectors against brute force and doubles its beam until
-the links found reach ``AUDIT_RECALL``.  Candidates are verified by cosine in
-double precision, and components are united.
+entry point and follows a beam through the lowest one.  What the beam finds is
+flooded along the graph, so a cluster may be larger than the beam.  Each shard
+audits itself, on true links of a sample and on probes made at the linking
+cosine, and doubles its beam until the recall by row reaches ``AUDIT_RECALL``.
+Candidates are verified by cosine in double precision, and components are united.
 
 Equal vectors form one class, so copies cost one node.  A task counts a
 vector's links and reduces them to a forest, so a cluster of thousands sends
@@ -38,9 +38,11 @@ COSINE = 0.95
 SHARD_ROWS, LEAST_SHARDS = 250_000, 8
 #: Neighbours of a node in upper layers and in the lowest one; candidates weighed when building.
 DEGREE, LOWEST_DEGREE, BUILD_BEAM = 12, 24, 48
-BEAM, AUDIT_ROWS, AUDIT_RECALL = 32, 512, 0.99
+BEAM, AUDIT_ROWS, AUDIT_RECALL = 16, 512, 0.99
 #: Beam entries expanded in one step; queries searched side by side.
 EXPANDED, SIDE_BY_SIDE = 4, 512
+#: Nodes compared with all queries in one product.
+FLOODED = 4096
 #: Single precision may be off by this much when candidates are taken.
 SLACK = 1e-4
 #: Vectors of a query row.
@@ -192,17 +194,33 @@ class SmallWorld:
         return entry
 
     def near(self, queries: np.ndarray, beam: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(query, node) arrays of all found with similarity ``least``; full beams are doubled."""
+        """(query, node) arrays of all found with similarity ``least``.
+
+        What the beams found is flooded: neighbours of a node that is close enough to any query are
+        looked at as well, until no more come in.  A cluster larger than the beam is thus reached by
+        its edges once for all queries, and counted by products of whole blocks."""
         entry = np.repeat(self.layers[0].nodes[:1][None], len(queries), 0)
         for layer in self.layers[:-1]:
             entry, _ = layer.search(queries, entry, EXPANDED)
-        open_ = np.arange(len(queries))
-        while len(open_):
-            ids, sims = self.layers[-1].search(queries[open_], entry, beam)
-            full = (sims[:, -1] >= least) & (beam < len(self.vectors))
-            q, k = np.nonzero((sims >= least) & ~full[:, None])
-            yield open_[q], ids[q, k]
-            open_, entry, beam = open_[full], ids[full], beam * 2
+        ids, sims = self.layers[-1].search(queries, entry, beam)
+        hit = sims >= least
+        some = np.flatnonzero(hit.any(axis=1))
+        if not len(some):
+            return
+        lowest, asked = self.layers[-1], queries[some]
+        reached = np.zeros(len(self.vectors) + 1, np.bool_)  # the last place stands for "no node"
+        reached[-1] = True
+        fresh = np.unique(ids[some][hit[some]])
+        while len(fresh):
+            reached[fresh] = True
+            close = []
+            for a in range(0, len(fresh), FLOODED):
+                nodes = fresh[a:a + FLOODED]
+                q, k = np.nonzero(asked @ self.vectors[nodes].T >= least)
+                yield some[q], nodes[k]
+                close.append(np.unique(nodes[k]))
+            around = np.unique(lowest.near[lowest.row[np.concatenate(close)]])
+            fresh = around[~reached[around]]
 
     def dump(self) -> list[bytes]:
         return [b for x in self.layers for b in (x.nodes.tobytes(), x.near.tobytes())]
@@ -223,17 +241,33 @@ def unit(raw: np.ndarray) -> np.ndarray:
 
 
 def audited_beam(world: SmallWorld, exact: np.ndarray, seed: int) -> tuple[int, float]:
-    """The smallest doubled beam whose links on a sample reach the recall asked for."""
-    n = len(exact)
-    sample = np.random.default_rng(seed).permutation(n)[:AUDIT_ROWS]
+    """The smallest doubled beam whose recall on a sample, averaged by row, reaches the one asked for.
+
+    Two audits, the lower one counts: of the sample's true links (by brute force) the share found; and
+    of probes, made from sampled vectors at just the cosine that links, the share that finds its source.
+    So there is evidence also where the sample has no links."""
+    n, d = exact.shape
+    rng = np.random.default_rng(seed)
+    sample = rng.permutation(n)[:AUDIT_ROWS]
     true = exact[sample] @ exact.T >= COSINE
     true[np.arange(len(sample)), sample] = False
+    linked = true.any(axis=1)
+    aside = rng.normal(size=(len(sample), d))
+    aside -= (aside * exact[sample]).sum(axis=1, keepdims=True) * exact[sample]
+    size = np.linalg.norm(aside, axis=1, keepdims=True)
+    probes = COSINE * exact[sample] + (1 - COSINE ** 2) ** 0.5 * np.divide(aside, size, out=np.zeros_like(aside), where=size > 1e-9)
     beam = BEAM
     while True:
         found = np.zeros_like(true)
         for q, k in world.near(world.vectors[sample], beam, COSINE - SLACK):
             found[q, k] = True
-        recall = float((found & true).sum() / true.sum()) if true.any() else 1.0
+        recall = 1.0
+        if linked.any():
+            recall = float(((found & true).sum(axis=1)[linked] / true.sum(axis=1)[linked]).mean())
+        back = np.zeros(len(sample), np.bool_)
+        for q, k in world.near(probes.astype(np.float32), beam, COSINE - SLACK):
+            back[q[sample[q] == k]] = True
+        recall = min(recall, float(back.mean()))
         if recall >= AUDIT_RECALL or beam >= n:
             return beam, recall
         beam *= 2
@@ -364,14 +398,14 @@ def near_duplicates(df: DataFrame, vector: str = "embedding", id_col: str = "vec
 
     shard = (of_length(first) + F.pmod(F.xxhash64("cls"), of_length(per))).cast("int") if sizes else F.lit(0)
     parts = max(total, 1)
-    index = stored(classes.select(shard.alias("shard"), "cls", "weight", "v").repartition(parts, "shard")
+    index = stored(classes.select(shard.alias("shard"), "cls", "weight", "v").repartitionById(parts, F.col("shard"))
                    .sortWithinPartitions("shard").mapInArrow(_build, INDEX), "shards")
     low, high = of_length(first), of_length({d: first[d] + per[d] - 1 for d in sizes})
     asked = (classes.select("cls", "v", "d").mapInArrow(_blocks, "d int, ids binary, vectors binary")
              .select(F.explode(F.sequence(low, high)).alias("shard"), F.lit(1).alias("kind"), "ids",
                      F.lit(None).cast("binary").alias("weights"), "vectors", F.lit(None).cast("int").alias("beam"),
                      F.lit(None).cast("double").alias("recall"), F.lit(None).cast("array<binary>").alias("layers")))
-    found = stored(index.unionByName(asked).repartition(parts, "shard").sortWithinPartitions("shard", "kind")
+    found = stored(index.unionByName(asked).repartitionById(parts, F.col("shard")).sortWithinPartitions("shard", "kind")
                    .mapInArrow(_query, "a long, b long, n long"), "found")
     label = components(found.where("b is not null").select("a", "b"))
     links = found.where("n is not null").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))
@@ -387,3 +421,19 @@ def near_duplicates(df: DataFrame, vector: str = "embedding", id_col: str = "vec
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL = """
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+good AS (
+  SELECT rid, vec_id, v FROM rows WHERE vec_id IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v) AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM good a JOIN good b ON a.rid <> b.rid AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (SELECT rid, rid AS other FROM rows UNION SELECT r.rid, l.b FROM reached r JOIN links l ON l.a = r.other),
+least AS (SELECT r.rid, min(o.vec_id) AS component_id FROM reached r JOIN rows o ON o.rid = r.other GROUP BY r.rid)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = rows.rid) AS n_links, component_id,
+       coalesce(vec_id = component_id, true) AS kept
+FROM rows JOIN least USING (rid)
+"""
