@@ -3,11 +3,15 @@ offending keys (aggregated on the executors), never the table itself."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import logging
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+log = logging.getLogger("purchlake")
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their multiplicity."""
@@ -35,3 +39,61 @@ def uniqueness_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"),
                        F.count(F.when(F.col("n") > 1, 1)).alias("n_duplicate_keys"),
                        F.max("n").alias("max_rows_per_key"))
+
+
+def raise_on_duplicates(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """``df`` as it is; the job that reads it fails if two rows share ``keys`` (NULL parts equal).
+
+    A window over the keys: where the rows are partitioned by them already, as in a keyed
+    write, it adds no shuffle, and no pass of its own anywhere."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    key = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    unique = F.when(F.col("__place") == 1, True).otherwise(
+        F.raise_error(F.concat(F.lit(f"{what}: several rows of key "), key)).cast("boolean"))
+    return df.withColumn("__place", place).where(unique).drop("__place")
+
+
+class KeyChecks:
+    """Counts duplicate lookup keys inside the job that reads the lookups.
+
+    ``checked`` marks a lookup; after the job, ``found`` tells for each lookup how many of its
+    rows share their key with another, and ``warn`` logs it."""
+
+    _names = itertools.count(1)
+
+    def __init__(self):
+        self.seen: list[tuple[str, Observation]] = []
+
+    def checked(self, name: str, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+        known: Column = F.lit(True)
+        for k in keys:
+            known = known & F.col(k).isNotNull()  # a NULL key matches nothing
+        same = F.count("*").over(Window.partitionBy(*keys))
+        watch = Observation(f"{name}-{next(self._names)}")
+        self.seen.append((name, watch))
+        return (dim.withColumn("__same", F.when(known, same).otherwise(1))
+                .observe(watch, F.count_if(F.col("__same") > 1).alias("rows")).drop("__same"))
+
+    def found(self) -> dict[str, int]:
+        """Only after the job."""
+        out: dict[str, int] = {}
+        for name, watch in self.seen:
+            out[name] = max(out.get(name, 0), watch.get["rows"])
+        return {name: n for name, n in out.items() if n}
+
+    def warn(self, what: str) -> dict[str, int]:
+        found = self.found()
+        for name, n in found.items():
+            log.warning("%s: %d rows of %s share their key with another and multiply what they match", what, n, name)
+        return found
+
+
+class CheckedLookups:
+    """Lookups whose keys are checked by ``checks`` as they are read."""
+
+    def __init__(self, lookups, keys: Mapping[str, Sequence[str]], checks: KeyChecks):
+        self._lookups, self._keys, self._checks = lookups, keys, checks
+
+    def __getattr__(self, name: str) -> DataFrame:
+        dim = getattr(self._lookups, name)
+        return self._checks.checked(name, dim, self._keys[name]) if name in self._keys else dim

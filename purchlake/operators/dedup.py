@@ -31,13 +31,16 @@ def _cols(cs: Sequence[Column | str]) -> list[Column]:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                   tie_breakers: Sequence[Column | str] = ()) -> DataFrame:
+                   tie_breakers: Sequence[Column | str]) -> DataFrame:
     """Keep the first row per ``keys`` under ``order`` + ``tie_breakers``.
 
     NULL key values form one group (SQL window semantics).  ``order`` items
     are Columns with their direction (``F.desc('ingestiontime')``); plain
     names sort ascending.  Ties are resolved by ``tie_breakers`` so the pick
-    is deterministic; pass a unique combination."""
+    is deterministic; pass a unique combination.  None at all is an error: rows that tie would be
+    picked by chance."""
+    if not tie_breakers:
+        raise ValueError("latest_per_key needs tie_breakers: columns that tell rows of one key and order apart")
     w = Window.partitionBy(*keys).orderBy(*_cols(order), *_cols(tie_breakers))
     return df.withColumn(RN, F.row_number().over(w)).filter(F.col(RN) == 1).drop(RN)
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources import store
+from .checks import raise_on_duplicates
 from .upsert import Commit, CommitConflict, commit_keyed, current_commit
 
 RANGE = "__range"
@@ -113,7 +114,7 @@ def _starts(keys: DataFrame, pieces: int) -> list[str]:
 
 
 def _merge_onto(spark: SparkSession, table_path: str, base: Commit | None, layout: Layout, batch: DataFrame,
-                version: str | None, delete_when: Column | None, mark_col: str | None) -> None:
+                version: str | None, delete_when: Column | None, mark_col: str | None, unique: bool) -> None:
     first = layout.keys[0]
     if base is None:
         keyed = {"keys": list(layout.keys), "nullable": list(layout.nullable), "range_rows": layout.range_rows,
@@ -130,6 +131,8 @@ def _merge_onto(spark: SparkSession, table_path: str, base: Commit | None, layou
         out = batch.where(~drop).repartition(keyed["buckets"], *keyed["keys"])
     else:
         out = merged_ranges(spark, table_path, base, batch, sorted(counts), version, delete_when)
+    if unique:
+        out = raise_on_duplicates(out, [*keyed["keys"], *keyed["nullable"]], table_path)
 
     taken = max(r["id"] for r in ranges) + 1
     after: list[dict] = []
@@ -172,17 +175,18 @@ def _merge_onto(spark: SparkSession, table_path: str, base: Commit | None, layou
 
 def merge(spark: SparkSession, table_path: str, layout: Layout, batch: DataFrame, version: str | None = None,
           delete_when: Column | None = None, mark_col: str | None = None, attempts: int = 5,
-          overtaken: str | None = None) -> None:
+          overtaken: str | None = None, unique: bool = False) -> None:
     """Upsert ``batch``, a written table (it is read more than once), by ``layout``'s keys.
 
     A key may have several rows: those of the batch replace all of the table.
     version: a batch row replaces a stored one only if it is not older in this column.
     overtaken: that column for merges done again after another writer's commit.
+    unique: the write fails, and nothing is committed, if two of the rows to be written share a key.
     mark_col: its maximum is committed as the table's high-water mark."""
     for left in reversed(range(attempts)):
         base = current_commit(spark, table_path)
         try:
-            _merge_onto(spark, table_path, base, layout, batch, version, delete_when, mark_col)
+            _merge_onto(spark, table_path, base, layout, batch, version, delete_when, mark_col, unique)
             return
         except CommitConflict:
             if not left:

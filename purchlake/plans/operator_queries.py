@@ -46,7 +46,7 @@ CUT_SQL = "TIMESTAMP '1999-01-01 00:00:00'"
 
 def desc_ts_tb():
     """Newest ship date first; the part key makes (order, line, date, part) unique."""
-    return [F.desc("l_shipdate"), F.desc("l_partkey")]
+    return [F.desc("l_shipdate")], [F.desc("l_partkey")]
 
 
 def qty3(c="l_quantity"):
@@ -252,7 +252,7 @@ LEFT JOIN (SELECT * FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate
   WHERE rn = 1) l ON o.o_orderkey = l.l_orderkey AND l.l_linenumber = 1""")
 def join_left_right_pred(spark, sf):
     t = T(spark, sf)
-    first = latest_per_key(t.lineitem.select(*L_KEYS, "l_partkey", "l_shipdate"), L_KEYS, desc_ts_tb())
+    first = latest_per_key(t.lineitem.select(*L_KEYS, "l_partkey", "l_shipdate"), L_KEYS, *desc_ts_tb())
     return lookup(t.orders.select("o_orderkey"), first, [("o_orderkey", "l_orderkey")],
                   {"l_partkey": "l_partkey", "l_shipdate": "l_shipdate"}, where=F.col("l_linenumber") == 1)
 
@@ -422,7 +422,7 @@ def _top_sql(cols: str, part: str, order: str, src: str = "lineitem") -> str:
                                "l_orderkey, l_linenumber", "l_shipdate DESC, l_partkey DESC"))
 def latest_per_key_q(spark, sf):
     li = T(spark, sf).lineitem
-    return latest_per_key(li, L_KEYS, desc_ts_tb()).select(*L_KEYS, "l_partkey", "l_shipdate", "l_quantity")
+    return latest_per_key(li, L_KEYS, *desc_ts_tb()).select(*L_KEYS, "l_partkey", "l_shipdate", "l_quantity")
 
 
 @op("latest_multi_order", _top_sql("user_id, event_id, event_type", "user_id",
@@ -596,7 +596,7 @@ def _remaining_base(spark, sf) -> DataFrame:
     price terms, the signed received quantity over all versions."""
     from ..sources.feeds import pick
     li = T(spark, sf).lineitem
-    latest = latest_per_key(li, L_KEYS, desc_ts_tb()).select(
+    latest = latest_per_key(li, L_KEYS, *desc_ts_tb()).select(
         *L_KEYS, qty3().alias("ordered"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
         pick(F.col("l_linenumber") % 6, _NPQ).cast("decimal(18,3)").alias("per_qty"),
         F.when(F.col("l_linestatus") == "F", F.lit("X")).alias("delivered"),

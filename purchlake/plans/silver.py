@@ -52,15 +52,15 @@ class SilverSpec:
     def columns(self) -> list[str]:
         return [f.name for f in self.contract] + [AUDIT]
 
-    def distinct_needed(self) -> bool:
-        if not self.distinct:
-            return False
-        if self.enrich is not None:
-            return True
+    def keeps_key(self) -> bool:
+        """Whether the contract carries every business-key column unchanged."""
         kept = {f.name for f in self.contract
                 if (f.source is None or (isinstance(f.source, str) and f.source == f.name))
                 and f.dtype in (None, STR)}
-        return not set(self.keys) <= kept
+        return set(self.keys) <= kept
+
+    def distinct_needed(self) -> bool:
+        return self.distinct and (self.enrich is not None or not self.keeps_key())
 
 
 def _fields(spec: Sequence[tuple]) -> list[Field]:
@@ -109,20 +109,26 @@ def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | Non
 # ------------------------------------------------------------------ enrichments
 
 
+#: Keys that the lookups are looked up by; expected to be unique, see ``checks.KeyChecks``.
+LOOKUP_KEYS = {"ziproduct": ["product"], "ziprduom": ["product", "alternativeunit"], "ziprdplant": ["product", "plant"],
+               "ziproductgrp": ["materialgroup"], "zisupplier": ["supplier"], "zimmpurchgroup": ["purchasinggroup"],
+               "ziuser": ["userid"]}
+
+
 def units_per_product(uom: DataFrame) -> DataFrame:
-    """One row per product with its KG and EA factors as columns."""
-    def of(unit: str, part: str):
-        return F.max(F.when(F.col("alternativeunit") == unit, F.col(part)))
-    return uom.groupBy("product").agg(
-        of(KG_UNIT, "quantitynumerator").alias("kg_num"), of(KG_UNIT, "quantitydenominator").alias("kg_den"),
-        of(EA_UNIT, "quantitynumerator").alias("ea_num"), of(EA_UNIT, "quantitydenominator").alias("ea_den"))
+    """One row per product with its KG and EA factors as columns; of several rows of one unit, one is taken whole."""
+    def of(unit: str):
+        return F.max(F.when(F.col("alternativeunit") == unit, F.struct("quantitynumerator", "quantitydenominator")))
+    return uom.groupBy("product").agg(of(KG_UNIT).alias("kg"), of(EA_UNIT).alias("ea")).select(
+        "product", F.col("kg.quantitynumerator").alias("kg_num"), F.col("kg.quantitydenominator").alias("kg_den"),
+        F.col("ea.quantitynumerator").alias("ea_num"), F.col("ea.quantitydenominator").alias("ea_den"))
 
 
 def _enrich_po_item(df: DataFrame, lk) -> DataFrame:
     """Master data of an item.  The factors to KG and EA join the product on the small
     side, so the wide item rows move once per distinct key: product, unit, plant, group.
-    (product, alternativeunit) is unique in the unit table; a second row for a pair would be
-    a fault of the master data (see ``checks.duplicate_keys``)."""
+    (product, alternativeunit) is expected to be unique in the unit table; the load counts rows
+    that are not (``checks.KeyChecks``)."""
     item = ["purchasingdocument", "purchasingdocumentitem"]
     factors = ["kg_num", "kg_den", "ea_num", "ea_den"]
     product = lookup(lk.ziproduct, units_per_product(lk.ziprduom), [("product", "product")],

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import keyed
+from ..operators.checks import CheckedLookups, KeyChecks
 from ..operators.upsert import (Commit, CommitConflict, current_commit, has_partitions, merge_snapshot, read_commit,
                                 upsert_by_key, upsert_partitions, write_snapshot)
 from ..plans import silver
@@ -56,6 +57,8 @@ def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame,
     function of the business key, e.g. a document-number prefix) and rewrite
     only the partitions the batch touches; without either, every merge writes a
     new snapshot of the whole table.
+    Duplicate lookup keys are counted inside the job and logged; in a table by
+    layout, rows that share a business key fail the write.
     first_load: a table without any commit takes the whole history, rows without
     an ingestion time included (the initial-load variants); else it is read
     behind the mark of an empty table."""
@@ -65,6 +68,9 @@ def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame,
         fresh = silver.run(spec, batch, lookups, target=target, initial=not use_high_water_mark)
         upsert_partitions(spark, table_path, fresh.withColumn(name, expr), spec.keys, name, version=version)
         return table_path
+    checks = KeyChecks()
+    if lookups is not None:
+        lookups = CheckedLookups(lookups, silver.LOOKUP_KEYS, checks)
     base = current_commit(spark, table_path)
     if not use_high_water_mark or (first_load and base is None):
         if first_load and base is None:
@@ -76,12 +82,16 @@ def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame,
         fresh = silver.run(spec, batch, lookups, target=None if mark else read_commit(spark, table_path, base), mark=mark)
     if layout is None and base is None:
         try:
-            return write_snapshot(fresh, table_path, mark_col="ingestiontime", base=None)
+            path = write_snapshot(fresh, table_path, mark_col="ingestiontime", base=None)
+            checks.warn(spec.name)
+            return path
         except CommitConflict:
             pass  # another writer made the table meanwhile: merge into it
     rows, folder = staged(fresh, spec.name)
+    checks.warn(spec.name)
     if layout is not None:
-        keyed.merge(spark, table_path, layout, rows, version=version, mark_col="ingestiontime", overtaken="ingestiontime")
+        keyed.merge(spark, table_path, layout, rows, version=version, mark_col="ingestiontime", overtaken="ingestiontime",
+                    unique=spec.keeps_key())
     else:
         def merged(now: DataFrame, commit: Commit) -> DataFrame:
             overtaken = base is None or commit.number != base.number

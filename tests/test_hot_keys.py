@@ -43,7 +43,7 @@ def largest(df):
 
 
 def test_lookup_onto_a_top1(spark, sort_merge, left, right):
-    top = latest_per_key(right.select("k", "v"), ["k"], [F.desc("v")])
+    top = latest_per_key(right.select("k", "v"), ["k"], [], [F.desc("v")])
     whole = lookup(left, top, [("k", "k")], {"v": "v"})
     parts = lookup(left, top, [("k", "k")], {"v": "v"}, hot=hot_keys(left, ["k"]))
     assert largest(whole) >= 0.9 * ROWS

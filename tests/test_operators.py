@@ -34,7 +34,9 @@ def test_latest_per_key_one_row_per_key_with_tie_breaker(spark):
 
 def test_latest_per_key_plans_a_partial_group_limit(spark):
     df = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("ts"))
-    plan = latest_per_key(df, ["k"], [F.desc("ts")])._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        latest_per_key(df, ["k"], [F.desc("ts")], [])
+    plan = latest_per_key(df, ["k"], [], [F.desc("ts")])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 
