@@ -34,13 +34,24 @@ class Ctx:
         self.t = Tables(spark, sf_dir)
         self.lk = Lookups(spark, self.t)
         self.inputs: list | None = None
+        self.asked: dict[str, bool] = {}  # lookups checked so far: unique or not
 
     def feed(self, name: str) -> DataFrame:
         return FEEDS[name](self.t)
 
     def silver(self, name: str, initial: bool = False) -> DataFrame:
         spec = silver.spec_for(name, initial)
-        return silver.run(spec, self.feed(spec.feed), self.lk, initial=initial)
+        return silver.run(spec, self.feed(spec.feed), self.lk, initial=initial, unique=self.unique(spec))
+
+    def unique(self, spec: silver.SilverSpec) -> frozenset[str]:
+        """The spec's lookups proven unique; asked only where a DISTINCT depends on it."""
+        if not spec.distinct_needed() or not spec.keeps_key():
+            return frozenset()
+        missing = [n for n in spec.lookups if n not in self.asked]
+        if missing:
+            self.asked.update(dict.fromkeys(missing, False))
+            self.asked.update(dict.fromkeys(silver.unique_lookups(self.lk, missing), True))
+        return frozenset(n for n in spec.lookups if self.asked[n])
 
     def table(self, name: str) -> DataFrame:
         """Silver table as the marts read it: written once, then scanned."""
@@ -103,8 +114,9 @@ def _second_run(name: str, cut: dt.datetime = INCREMENT_CUT) -> Query:
         c = Ctx(spark, sf_dir)
         spec = silver.spec_for(name)
         feed = c.feed(spec.feed)
-        target = silver.run(spec, feed.where(F.col("ingestiontime") < ntz(cut)), c.lk)
-        return _no_audit(silver.run(spec, feed, c.lk, target=target))
+        unique = c.unique(spec)
+        target = silver.run(spec, feed.where(F.col("ingestiontime") < ntz(cut)), c.lk, unique=unique)
+        return _no_audit(silver.run(spec, feed, c.lk, target=target, unique=unique))
     return q
 
 

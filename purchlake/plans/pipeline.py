@@ -63,10 +63,11 @@ def load_all(spark: SparkSession, sf_dir: str, table_root: str, **sizes: int) ->
     lk = Lookups(spark, t)
     root = table_root.rstrip("/")
     out: dict[str, str] = {}
+    unique = silver.unique_lookups(lk)
     for name in SILVER_TABLES:
         spec = silver.spec_for(name)
         out[name] = merge_batch(spark, spec, FEEDS[spec.feed](t), f"{root}/{name}", lk, layout=layout_of(spec, **sizes),
-                                first_load=name in FIRST_LOADS)
+                                first_load=name in FIRST_LOADS, unique=unique)
 
     def s(name: str) -> DataFrame:
         return read_table(spark, f"{root}/{name}")

@@ -7,16 +7,16 @@ run(spec) =  incremental slice (high-water mark on the target, 6 h overlap)
           -> conforming projection to the silver contract
           -> DISTINCT where the reference asks for it.
 
-DISTINCT is a full shuffle over every column.  When a spec has no lookups
-and its contract carries every business-key column unchanged, the rows are
-already unique (one per key after the top-1), so the runner skips it; the
-result is identical.
+DISTINCT is a full shuffle over every column.  When the contract carries every
+business-key column unchanged and all lookups are proven unique in their keys
+(or there are none), the rows are already unique (one per key after the
+top-1), so the runner skips it; the result is identical.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import concat_strict, ntz, label, null_or_empty_flag, parse_compact_date, parse_compact_ts, substr_from
 from ..fixed import CONDITION_LABELS, EA_UNIT, FINAL_APPROVAL_CODE, KG_UNIT, PRICING_ITEM_FROM
+from ..operators.checks import proven_unique
 from ..operators.conform import Field, conform
 from ..operators.dedup import latest_per_key
 from ..operators.enrich import lookup
@@ -46,6 +47,7 @@ class SilverSpec:
     tie_breakers: list[Column] = field(default_factory=lambda: [F.desc("changesequence")])
     prefilter: Column | None = None
     enrich: Callable[[DataFrame, object], DataFrame] | None = None
+    lookups: tuple[str, ...] = ()  # those that enrich reads by key
     distinct: bool = False
 
     @property
@@ -59,8 +61,10 @@ class SilverSpec:
                 and f.dtype in (None, STR)}
         return set(self.keys) <= kept
 
-    def distinct_needed(self) -> bool:
-        return self.distinct and (self.enrich is not None or not self.keeps_key())
+    def distinct_needed(self, unique: Collection[str] = ()) -> bool:
+        """``unique``: lookups whose keys are proven unique.  One row per key after the top-1 stays
+        one row per key through joins with those, so there is nothing to take out."""
+        return self.distinct and not (self.keeps_key() and set(self.lookups) <= set(unique))
 
 
 def _fields(spec: Sequence[tuple]) -> list[Field]:
@@ -77,7 +81,8 @@ def _envelope() -> list[Field]:
 
 def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | None = None,
         initial: bool = False, lookback: str = DEFAULT_LOOKBACK, floor: dt.datetime = DEFAULT_FLOOR,
-        hwm_mode: str = "subquery", on_error: str = "null", mark: dt.datetime | None = None) -> DataFrame:
+        hwm_mode: str = "subquery", on_error: str = "null", mark: dt.datetime | None = None,
+        unique: Collection[str] = ()) -> DataFrame:
     """Build one silver batch.
 
     initial=True  : full history, no high-water mark (initial-load variant).
@@ -85,7 +90,9 @@ def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | Non
                     non-NULL ingestion time).
     target=frame  : incremental against the current silver table.
     mark=datetime : the target's max(ingestiontime), already known (stored
-                    with the table), so the target is not scanned for it."""
+                    with the table), so the target is not scanned for it.
+    unique        : names of lookups proven unique in their keys (``unique_lookups``);
+                    a DISTINCT that they make void is left out."""
     if initial:
         df = feed
     elif mark is not None or target is None:
@@ -101,7 +108,7 @@ def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | Non
     if spec.enrich is not None:
         df = spec.enrich(df, lookups)
     out = conform(df, spec.contract, on_error=on_error).withColumn(AUDIT, F.current_timestamp())
-    if spec.distinct_needed():
+    if spec.distinct_needed(unique):
         out = out.distinct()
     return out
 
@@ -115,6 +122,11 @@ LOOKUP_KEYS = {"ziproduct": ["product"], "ziprduom": ["product", "alternativeuni
                "ziuser": ["userid"]}
 
 
+def unique_lookups(lookups, names: Collection[str] = tuple(LOOKUP_KEYS)) -> frozenset[str]:
+    """Which of the lookups hold each key once, found by one job over them."""
+    return proven_unique({n: (getattr(lookups, n), LOOKUP_KEYS[n]) for n in names})
+
+
 def units_per_product(uom: DataFrame) -> DataFrame:
     """One row per product with its KG and EA factors as columns; of several rows of one unit, one is taken whole."""
     def of(unit: str):
@@ -271,10 +283,10 @@ def build_specs() -> dict[str, SilverSpec]:
                "purchasinghistorydocumenttype", "purchasinghistorydocumentyear", "purchasinghistorydocument",
                "purchasinghistorydocumentitem"], PO_HISTORY, distinct=True),
         _spec("silver_mm_zimmpurgdocitem", "zimmpurgdocitem", ["purchasingdocument", "purchasingdocumentitem"],
-              PO_ITEM, enrich=_enrich_po_item, distinct=True),
+              PO_ITEM, enrich=_enrich_po_item, lookups=("ziproduct", "ziprduom", "ziprdplant", "ziproductgrp"), distinct=True),
         _spec("silver_mm_zipoapprov", "zipoapprov", ["purchasingdocument"], PO_APPROVAL,
               order=[F.desc("approvedate"), F.desc("approvetime"), F.desc("ingestiontime")],
-              prefilter=F.col("approvercode") == FINAL_APPROVAL_CODE, enrich=_enrich_po_approval),
+              prefilter=F.col("approvercode") == FINAL_APPROVAL_CODE, enrich=_enrich_po_approval, lookups=("ziuser",)),
         _spec("silver_mm_ziprapprov", "ziprapprov", ["tabkey"], PR_APPROVAL),
         _spec("silver_mm_zipricingelement", "zipricingelement",
               ["pricingdocument", "pricingdocumentitem", "pricingprocedurestep", "pricingprocedurecounter"],
@@ -282,7 +294,7 @@ def build_specs() -> dict[str, SilverSpec]:
         _spec("silver_mm_zipritem", "zipritem", ["purchaserequisition", "purchaserequisitionitem"], PR_ITEM,
               distinct=True),
         _spec("silver_mm_zmmpurchasingdoc", "zmmpurchasingdoc", ["purchasingdocument"], PO_HEADER,
-              enrich=_enrich_po_header),
+              enrich=_enrich_po_header, lookups=("zisupplier", "zimmpurchgroup")),
     ]}
 
 

@@ -25,6 +25,7 @@ placed under the session's ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -49,7 +50,7 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame, table_path: str,
                 lookups=None, use_high_water_mark: bool = True, version: str | None = None,
                 partition: tuple[str, Column] | None = None, layout: keyed.Layout | None = None,
-                first_load: bool = False) -> str:
+                first_load: bool = False, unique: Collection[str] = ()) -> str:
     """Apply one micro-batch (or any batch of feed rows) to the silver table.
 
     layout: keep the table by key ranges and rewrite only those the batch touches.
@@ -59,13 +60,14 @@ def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame,
     new snapshot of the whole table.
     Duplicate lookup keys are counted inside the job and logged; in a table by
     layout, rows that share a business key fail the write.
+    unique: lookups proven unique in their keys, see ``silver.run``.
     first_load: a table without any commit takes the whole history, rows without
     an ingestion time included (the initial-load variants); else it is read
     behind the mark of an empty table."""
     if partition is not None:
         name, expr = partition
         target = spark.read.parquet(table_path) if has_partitions(spark, table_path, name) else None
-        fresh = silver.run(spec, batch, lookups, target=target, initial=not use_high_water_mark)
+        fresh = silver.run(spec, batch, lookups, target=target, initial=not use_high_water_mark, unique=unique)
         upsert_partitions(spark, table_path, fresh.withColumn(name, expr), spec.keys, name, version=version)
         return table_path
     checks = KeyChecks()
@@ -75,11 +77,12 @@ def merge_batch(spark: SparkSession, spec: silver.SilverSpec, batch: DataFrame,
     if not use_high_water_mark or (first_load and base is None):
         if first_load and base is None:
             spec = silver.initial_form(spec)
-        fresh = silver.run(spec, batch, lookups, initial=True)
+        fresh = silver.run(spec, batch, lookups, initial=True, unique=unique)
     else:
         # the committed mark spares a scan of the whole table for max(ingestiontime)
         mark = base and base.mark
-        fresh = silver.run(spec, batch, lookups, target=None if mark else read_commit(spark, table_path, base), mark=mark)
+        fresh = silver.run(spec, batch, lookups, target=None if mark else read_commit(spark, table_path, base), mark=mark,
+                           unique=unique)
     if layout is None and base is None:
         try:
             path = write_snapshot(fresh, table_path, mark_col="ingestiontime", base=None)
