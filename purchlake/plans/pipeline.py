@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import keyed
+from ..operators.reconcile import reconcile, rows_of_keys
 from ..operators.upsert import read_table, write_snapshot
 from ..sources import FEEDS, Lookups, Tables, store
 from ..streaming.silver_stream import merge_batch, staged
@@ -57,6 +58,22 @@ def _upsert_mart(spark: SparkSession, path: str, build, **sizes: int) -> str:
     return path
 
 
+def repair(spark: SparkSession, name: str, feed: DataFrame, path: str, lookups: Lookups, **sizes: int) -> int:
+    """Merge the versions that the table of ``name`` has missed (they arrived later than the marks reach
+    back); returns the number of keys that differed.  Only for tables that keep the feed's keys unchanged."""
+    spec = silver.spec_for(name)
+    if not spec.keeps_key():
+        raise ValueError(f"{name} does not carry its feed's keys")
+    wanted = silver.newest_versions(spec, feed, initial=name in FIRST_LOADS)
+    found, folder = staged(reconcile(wanted, read_table(spark, path), spec.keys).where("status <> 'extra'"), f"{name}-missed")
+    n = found.count()
+    if n:
+        merge_batch(spark, spec, rows_of_keys(feed, found, spec.keys), path, lookups, use_high_water_mark=False,
+                    layout=layout_of(spec, **sizes))
+    store.remove(spark, folder)
+    return n
+
+
 def load_all(spark: SparkSession, sf_dir: str, table_root: str, **sizes: int) -> dict[str, str]:
     """Load every silver table and mart from the feeds of ``sf_dir``; ``sizes``: those of ``keyed.Layout``."""
     t = Tables(spark, sf_dir)

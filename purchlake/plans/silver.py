@@ -113,6 +113,15 @@ def run(spec: SilverSpec, feed: DataFrame, lookups=None, target: DataFrame | Non
     return out
 
 
+def newest_versions(spec: SilverSpec, feed: DataFrame, initial: bool = False) -> DataFrame:
+    """(keys, ingestiontime): the version of each key that a load of the whole feed would keep."""
+    df = feed if initial else feed.where(F.col("ingestiontime").isNotNull())
+    df = require_keys(df, spec.guards)
+    if spec.prefilter is not None:
+        df = df.filter(spec.prefilter)
+    return latest_per_key(df, spec.keys, spec.order, spec.tie_breakers).select(*spec.keys, "ingestiontime")
+
+
 # ------------------------------------------------------------------ enrichments
 
 
