@@ -199,7 +199,7 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
                  pr_approvals: DataFrame, headers: DataFrame, history: DataFrame, pricing: DataFrame,
                  units: DataFrame, target: DataFrame | None = None, lookback: str = DEFAULT_LOOKBACK,
                  floor: dt.datetime = DEFAULT_FLOOR, watermark_col: str = "ingestiontime") -> DataFrame:
-    """Wide PO-item fact (76 columns)."""
+    """Wide PO-item fact (76 columns).  The item key is unique (a keyed silver load sees to it)."""
     po = _slice(_live_items(items), target, lookback, floor, watermark_col)
     d = _headers(headers)
     h = receipts_by_item(history)
@@ -229,28 +229,33 @@ def mart_po_item(items: DataFrame, pr_items: DataFrame, schedule: DataFrame, po_
     lm = latest_per_key(priced, ["material", "plant"], [F.desc_nulls_last("lm_date"), F.desc("ingestiontime")],
                         [F.desc("purchasingdocument"), F.desc("purchasingdocumentitem")])
 
-    # the wide frame: joins grouped by key so each key set shuffles it once;
-    # the item key is never NULL (silver guards), so no salting there
+    # pricing and latest price are resolved on a narrow frame of item key and join keys,
+    # requisition approvals on the requisitions, so none of their keys moves the wide rows
+    conditions = ["freight_amount", "freight_amount_thb", "clearance_amount", "clearance_amount_thb", "discount_amount",
+                  "discount_amount_thb", "po_actual_value"]
+    r = lookup(po.select(*item_id, "material", "plant"), d, [("purchasingdocument", "purchasingdocument")],
+               {"condition": "purchasingdocumentcondition"}, spread_null_keys=False)
+    r = lookup(r, p, [("condition", "pricingdocument"), ("purchasingdocumentitem", "pricingdocumentitem")],
+               {f"p_{c}": c for c in conditions}, salt_cols=item_id)
+    r = lookup(r, lm, [("material", "material"), ("plant", "plant")],
+               {"lm_price": "price_per_unit", "lm_date": "lm_date", "lm_doc": "lm_doc"}, salt_cols=item_id,
+               hot=hot_keys(po, ["material", "plant"]))
+    resolved = [*(f"p_{c}" for c in conditions), "lm_price", "lm_date", "lm_doc"]
+    approved = lookup(pr.select(*item_id, F.col("purchasereqnitemuniqueid").alias("pr_uid")), ar,
+                      [("pr_uid", "purchasereqnitemuniqueid")], {"ar_updatedate": "updatedate"})
+
+    # the wide rows move once for the item key (never NULL: silver guards) and once for the header
     f = lookup(po, h, key2, {"first_grdate": "first_grdate", "latest_grdate": "latest_grdate",
                              "gr_qty": "gr_qty", "gr_value_thb": "gr_value_thb",
                              "gr_value_pocurrency": "gr_value_pocurrency"}, spread_null_keys=False)
     f = lookup(f, sl, key2, {"po_delivery_date": "schedulelinedeliverydate"}, spread_null_keys=False)
-    f = lookup(f, pr, key2, {"pr_uid": "purchasereqnitemuniqueid"}, spread_null_keys=False)
+    f = lookup(f, r, key2, {c: c for c in resolved}, spread_null_keys=False)
+    f = lookup(f, approved, key2, {"ar_updatedate": "ar_updatedate"}, spread_null_keys=False)
     f = lookup(f, da, [("purchasingdocument", "purchasingdocument")],
                {"d_doc": "purchasingdocument", **{f"d_{c}": c for c in HEADER_ATTRS},
                 "d_purchasinggroupname": "purchasinggroupname",
                 **{c: c for c in ["a_approvedate", "a_isapprove", "a_approvercode", "a_approverdescription",
                                   "a_approverfullname"]}}, spread_null_keys=False)
-    f = lookup(f, p, [("d_purchasingdocumentcondition", "pricingdocument"),
-                      ("purchasingdocumentitem", "pricingdocumentitem")],
-               {f"p_{c}": c for c in ["freight_amount", "freight_amount_thb", "clearance_amount",
-                                      "clearance_amount_thb", "discount_amount", "discount_amount_thb",
-                                      "po_actual_value"]}, salt_cols=item_id)
-    f = lookup(f, lm, [("material", "material"), ("plant", "plant")],
-               {"lm_price": "price_per_unit", "lm_date": "lm_date", "lm_doc": "lm_doc"}, salt_cols=item_id,
-               hot=hot_keys(po, ["material", "plant"]))
-    f = lookup(f, ar, [("pr_uid", "purchasereqnitemuniqueid")], {"ar_updatedate": "updatedate"},
-               salt_cols=item_id)
     f = lookup(f, units, [("orderquantityunit", "unitofmeasure")], {"uom_p": "unitofmeasure_e"})
     f = lookup(f, units, [("baseunit", "unitofmeasure")], {"uom_b": "unitofmeasure_e"})
 

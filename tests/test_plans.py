@@ -83,3 +83,21 @@ def test_item_rows_move_once_per_lookup_key(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     wide = [x for x in plan.split("\n") if "SortMergeJoin" in x and "LeftOuter" in x]
     assert len(wide) == 5  # four on item rows, one between the product and its factors
+
+
+def test_wide_item_rows_move_twice(spark):
+    """Item mart, broadcast off: for the item key and for the header; and once per unit code, a table that
+    is broadcast by its statistics otherwise."""
+    import re
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = mart_po_item(spark, SF)
+        jvm = spark._jvm.org.apache.spark.sql.execution.ExplainMode
+        text = df._jdf.queryExecution().explainString(jvm.fromString("formatted"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moves = [(m[1], m[2]) for m in re.finditer(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\n]*)\]\nArguments: ([^\n]*)", text)]
+    wide = [how for what, how in moves if "material_description" in what]
+    assert sum("unit#" not in how for how in wide) == 2, wide
+    assert len(wide) <= 4
