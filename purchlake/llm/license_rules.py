@@ -20,7 +20,9 @@ independent.  Extra columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -132,31 +134,60 @@ def rules() -> list[Rule]:
     return sorted(out, key=lambda r: r.priority)
 
 
+class Accepted:
+    """Intervals of the detections accepted so far; tells in logarithmic time whether one holds another."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.reach: list[int] = []  # furthest end of the intervals up to here, by start
+        self.spans: list[tuple[int, int]] = []
+
+    def hold(self, a: int, b: int) -> bool:
+        i = bisect_right(self.starts, a)
+        return i > 0 and self.reach[i - 1] >= b
+
+    def add(self, spans: list[tuple[int, int]]) -> None:
+        self.spans = sorted({*self.spans, *spans})
+        self.starts = [a for a, _ in self.spans]
+        self.reach = list(accumulate((b for _, b in self.spans), max))
+
+
+def accepted_rules(line: str, ordered: list[Rule]) -> set[Rule]:
+    """The rules with a detection that none suppresses: one of higher priority whose interval holds it, or
+    a longer one of equal priority."""
+    present = set(line.split(" "))
+    accepted, out = Accepted(), set()
+    for _, rules_here in groupby(ordered, key=lambda r: r.priority):
+        found = [(*m.span(), rule) for rule in rules_here if rule.keywords <= present for m in rule.pattern.finditer(line)]
+        found = [x for x in found if not accepted.hold(x[0], x[1])]
+        found.sort(key=lambda x: (x[0], -x[1]))
+        kept: list[tuple[int, int]] = []
+        reach = -1
+        for (a, b), same in groupby(found, key=lambda x: x[:2]):
+            if reach < b:  # else one that starts no later and is longer holds it
+                kept.append((a, b))
+                out.update(rule for *_, rule in same)
+            reach = max(reach, b)
+        if kept:
+            accepted.add(kept)
+    return out
+
+
 def scan(text: bytes, ordered: list[Rule]) -> tuple:
     """(n_base, first_word, last_word, base_labels, labels, score) of a lower-cased text."""
     words = WORDS.findall(text)
     line = " " + " ".join(w.decode("utf-8", "replace") for w in words) + " "
-    present = set(line.split(" "))
-    starts, base = [], set()
+    n, first, last, base = 0, len(line), -1, set()
     for phrase, label in BASE.items():
         at = line.find(f" {phrase} ")
         while at >= 0:
-            starts.append(line.count(" ", 0, at))
+            n, first, last = n + 1, min(first, at), max(last, at)
             base.add(label)
             at = line.find(f" {phrase} ", at + 1)
-    accepted: list[tuple[int, int, Rule]] = []
-    for rule in ordered:  # by priority, so what is accepted already outranks or equals the new one
-        if rule.keywords <= present:
-            for m in rule.pattern.finditer(line):
-                a, b = m.span()
-                inside = [x for x in accepted if x[0] <= a and b <= x[1]]
-                if not any(x[2].priority < rule.priority or x[1] - x[0] > b - a for x in inside):
-                    accepted = [x for x in accepted if not (x[2].priority == rule.priority and a <= x[0]
-                                                            and x[1] <= b and x[1] - x[0] < b - a)]
-                    accepted.append((a, b, rule))
-    labels = base | {r.label for _, _, r in accepted}
-    score = max((r.confidence for _, _, r in accepted), default=0.0)
-    return (len(starts), min(starts, default=None), max(starts, default=None),
+    rules_found = accepted_rules(line, ordered)
+    labels = base | {r.label for r in rules_found}
+    score = max((r.confidence for r in rules_found), default=0.0)
+    return (n, line.count(" ", 0, first) if n else None, line.count(" ", 0, last) if n else None,
             ",".join(sorted(base)), ",".join(sorted(labels)), score)
 
 
@@ -192,7 +223,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row; see OUT.  Word positions count from 0."""
     small_batches(df.sparkSession)
-    return df.select(df[id_col].cast("long"), df[text].cast("string")).mapInArrow(_scan, OUT)
+    return df.select(df[f"`{id_col}`"].cast("long"), df[f"`{text}`"].cast("string")).mapInArrow(_scan, OUT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
