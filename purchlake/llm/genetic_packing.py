@@ -224,7 +224,7 @@ def pieces(df: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                              names=[f.split()[0] for f in PIECES.split(", ")])
 
-    return df.select(df[f"`{id_col}`"].cast("long"), df[f"`{text}`"].cast("string")).mapInArrow(frugal(cut), PIECES)
+    return df.select(df[f"`{id_col}`"].cast("long").alias("doc_id"), df[f"`{text}`"].cast("string").alias("text")).mapInArrow(frugal(cut), PIECES)
 
 
 class BestFit:

@@ -1,23 +1,30 @@
 """Language identification with bit-sliced Bloom filters of n-grams.
 
-A table of slots holds one bit per language (bit-sliced: one probe answers
-for all languages).  The AND of a gram's slots is the set of languages that
-contain it.  A document's grams are looked up, hits are counted per language,
-corrected for the filter's false positives, and the largest count decides.
+A table of slots holds a group of bits for each language (bit-sliced: one probe
+answers for all languages).  The first bit of a group is a filter of every gram
+that the language contains, however rare; the others are filters of the grams
+whose share of the language reaches the steps of ``SHARES``.  The AND of a gram's
+slots thus gives all languages that contain it, and how usual it is there.  A
+document's grams are looked up, the bits are counted per language, each count is
+corrected for its filter's false positives, and the largest sum decides: a
+gram that all languages contain speaks for the one where it is usual.
 
 Training counts the byte trigrams of every labelled row given, summed inside
 each task before anything is shuffled (the result has at most one row per
-language and trigram).  A language contains a gram if the gram's share there
-reaches ``TYPICAL`` of its largest share in any language.  The filled filter
-has a fixed size, whatever the corpus.
+language and trigram), and the slots are filled by the tasks and united by OR.
+Shares are relative, so a language of two short texts is learnt like any other,
+and the same rows three times over give the same filter.  A slot takes as many
+words as the languages need; its size does not depend on the corpus.
 
 Grams run over the lower-cased bytes, where each run of non-letters is one
 blank.  ``lang``, ``source`` and the id are never inputs of a prediction.
 
 Nulls: rows with a null label or null text teach nothing; a null text, or one
-without a letter, gets ``und``.  Without any labelled row every prediction is
-``und``.  Empty tables give no rows.  Very long texts are read whole.  Extra
-columns are ignored by ``identify`` and passed through by ``keep_identified``.
+without a letter, gets ``und``.  Ties go to the language whose name comes first.
+A text of which no gram is known gets the language with most grams.  Without any
+labelled row every prediction is ``und``.  Empty tables give no rows.  Very long
+texts are read whole.  Extra columns are ignored by ``identify`` and passed
+through by ``keep_identified``.
 """
 
 from __future__ import annotations
@@ -31,16 +38,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, frugal, mix64, ship, small_batches, table, utf8
+from .common import by_bytes, frugal, mix64, ship, shuffle_partitions, small_batches, stored, table, utf8
 
 ship(__name__)
 
 UND = "und"
 SLOT_BITS, HASHES = 20, 3
-TYPICAL = 0.6
-#: A gram counts for a language from this many occurrences on.
-LEAST = 3
-MOST_LANGUAGES = 64
+#: Least shares of a language's grams for the filters after the first, which takes every gram.
+SHARES = tuple(2.0 ** -k for k in (17, 15, 13, 11, 9, 7))
+LEVELS = 1 + len(SHARES)
 
 LETTER = np.zeros(256, np.bool_)
 LETTER[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -95,39 +101,41 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Filter:
-    """languages[i] owns bit i; ``fallback`` is the one with most grams."""
+    """languages[i] owns bits i * LEVELS .. (i + 1) * LEVELS - 1 of a slot (a row of 64-bit words);
+    ``fill``: share of slots that hold each bit; ``fallback``: the language with most grams."""
 
     languages: list[str]
     slots: np.ndarray
     fill: np.ndarray
     fallback: str
 
-    def false_positive(self) -> np.ndarray:
-        return self.fill ** HASHES
-
     def containing(self, grams: np.ndarray) -> np.ndarray:
-        """Per gram: the bits of the languages that contain it."""
+        """Per gram: the bits of the filters that contain it."""
         out = None
         for p in probes(grams):
             out = self.slots[p] if out is None else out & self.slots[p]
         return out
 
+    def counts(self, grams: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """Per text and bit: the grams that have it, corrected for false positives."""
+        n_bits = len(self.languages) * LEVELS
+        n = np.diff(cut)
+        out = np.zeros((len(n), n_bits))
+        some = np.flatnonzero(n)
+        if len(some):
+            found = np.unpackbits(self.containing(grams).view(np.uint8), axis=1, count=n_bits, bitorder="little")
+            out[some] = np.add.reduceat(found, cut[some], axis=0, dtype=np.int64)
+        wrong = np.minimum(self.fill ** HASHES, 1 - 1e-9)
+        return np.maximum(out - n[:, None] * wrong, 0) / (1 - wrong)
+
     def decide(self, column: pa.Array) -> tuple[list[str], list[float]]:
         data, ends = utf8(column)
         names, scores = [], []
-        for a, b in by_bytes(ends):
+        for a, b in by_bytes(ends, 1 << 17):
             grams, cut = trigrams(data, ends[a:b + 1])
-            bits = self.containing(grams)
-            n = np.diff(cut)
-            hits = np.zeros((len(self.languages), b - a))
-            for i in range(len(self.languages)):
-                one = np.concatenate(([0], np.cumsum((bits >> bits.dtype.type(i)) & bits.dtype.type(1), dtype=np.int64)))
-                hits[i] = one[cut[1:]] - one[cut[:-1]]
-            fp = self.false_positive()[:, None]
-            hits = np.maximum(hits - n * fp, 0) / (1 - fp)
-            best = hits.argmax(axis=0)
-            top = hits.max(axis=0)
-            share = np.divide(top, hits.sum(axis=0), out=np.zeros(b - a), where=top > 0)
+            sums = self.counts(grams, cut).reshape(b - a, len(self.languages), LEVELS).sum(axis=2)
+            best, top = sums.argmax(axis=1), sums.max(axis=1)
+            share = np.divide(top, sums.sum(axis=1), out=np.zeros(b - a), where=top > 0)
             names += [self.languages[i] if t > 0 else self.fallback for i, t in zip(best, top)]
             scores += np.clip(share, 0, 1).tolist()
         return names, scores
@@ -140,28 +148,49 @@ def probes(grams: np.ndarray) -> Iterator[np.ndarray]:
         h >>= np.uint64(SLOT_BITS)
 
 
+def _fill(place: dict[str, int], totals: dict[str, int]):
+    """Rows (lang, gram, n) -> the slots they set, united within the task."""
+    words = -(-len(place) * LEVELS // 64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = np.zeros((1 << SLOT_BITS, words), np.uint64)
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            first = np.array([place[x] * LEVELS for x in langs], np.int64)
+            share = batch.column(2).to_numpy() / np.array([totals[x] for x in langs], np.float64)
+            hit = list(probes(batch.column(1).to_numpy().astype(np.uint64)))
+            for level, least in enumerate((0.0, *SHARES)):
+                has = share >= least
+                bit = first[has] + level
+                value = np.uint64(1) << (bit % 64).astype(np.uint64)
+                for p in hit:
+                    np.bitwise_or.at(slots, (p[has], bit // 64), value)
+        slot, word = np.nonzero(slots)
+        yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(word.astype(np.int32)),
+                                          pa.array(slots[slot, word].view(np.int64))], names=["slot", "word", "bits"])
+
+    return run
+
+
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filter:
     """Fit on every row with a text and a label."""
     small_batches(labelled.sparkSession)
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = (rows.select(F.col(lang).cast("string"), F.lower(text)).mapInArrow(frugal(_count), "lang string, gram long, n long")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-              .where(F.col("n") >= LEAST))
-    # at most languages x 2^24 short rows, in practice some ten thousand for each language
-    got = counts.toPandas()
-    if got["lang"].nunique() > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    totals = got.groupby("lang")["n"].sum().sort_index()
-    names = list(totals.index)
-    width = next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(names) <= 8 * t().itemsize)
-    slots = np.zeros(1 << SLOT_BITS, width)
-    got["share"] = got["n"] / got["lang"].map(totals)
-    got = got[got["share"] >= TYPICAL * got.groupby("gram")["share"].transform("max")]
-    for i, name in enumerate(names):
-        for p in probes(got.loc[got["lang"] == name, "gram"].to_numpy(np.uint64)):
-            slots[p] |= width(1 << i)
-    fill = np.array([np.mean((slots >> width(i)) & width(1)) for i in range(len(names))])
-    return Filter(names, slots, fill, totals.idxmax() if names else UND)
+    text_of, lang_of = F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string")
+    rows = labelled.where(lang_of.isNotNull() & text_of.isNotNull())
+    counts = stored(rows.select(lang_of.alias("lang"), F.lower(text_of).alias("text")).mapInArrow(frugal(_count), "lang string, gram long, n long")
+                    .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}  # a row per language
+    names = sorted(totals)
+    if not names:
+        return Filter([], np.zeros((0, 0), np.uint64), np.zeros(0), UND)
+    slots = np.zeros((1 << SLOT_BITS, -(-len(names) * LEVELS // 64)), np.uint64)
+    filled = (counts.coalesce(shuffle_partitions(counts.sparkSession))
+              .mapInArrow(frugal(_fill({x: i for i, x in enumerate(names)}, totals)), "slot int, word int, bits long")
+              .groupBy("slot", "word").agg(F.bit_or("bits").alias("bits")))
+    got = filled.toArrow()  # no more rows than the table has words
+    slots[got["slot"].to_numpy(), got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    fill = np.array([np.mean((slots[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)) for i in range(len(names) * LEVELS)])
+    return Filter(names, slots, fill, max(names, key=totals.get))
 
 
 def predict(spark: SparkSession, model: Filter, text: Column) -> Column:
@@ -183,15 +212,15 @@ def predict(spark: SparkSession, model: Filter, text: Column) -> Column:
 
 
 def held_out(id_col: str = "doc_id") -> Column:
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def identify(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> DataFrame:
     """One row per input row: id_col, held_out, lang_pred, score; held-out rows teach nothing."""
     model = learn(df.where(~held_out(id_col)), text, lang)
-    got = df.select(F.col(id_col), held_out(id_col).alias("held_out"),
-                    predict(df.sparkSession, model, F.col(text).cast("string")).alias("got"))
-    return got.select(id_col, "held_out", F.col("got.lang").alias("lang_pred"), F.col("got.score").alias("score"))
+    got = df.select(F.col(f"`{id_col}`"), held_out(id_col).alias("held_out"),
+                    predict(df.sparkSession, model, F.col(f"`{text}`").cast("string")).alias("got"))
+    return got.select(f"`{id_col}`", "held_out", F.col("got.lang").alias("lang_pred"), F.col("got.score").alias("score"))
 
 
 def keep_identified(df: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> DataFrame:

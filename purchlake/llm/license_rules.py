@@ -223,7 +223,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan_licenses(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per input row; see OUT.  Word positions count from 0."""
     small_batches(df.sparkSession)
-    return df.select(df[f"`{id_col}`"].cast("long"), df[f"`{text}`"].cast("string")).mapInArrow(_scan, OUT)
+    return df.select(df[f"`{id_col}`"].cast("long").alias("doc_id"), df[f"`{text}`"].cast("string").alias("text")).mapInArrow(_scan, OUT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,7 +94,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def count_words(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(word string, n long): the words of all texts, with their occurrences."""
     small_batches(df.sparkSession)
-    found = df.select(df[f"`{id_col}`"].cast("long"), df[f"`{text}`"].cast("string")).mapInArrow(
+    found = df.select(df[f"`{id_col}`"].cast("long").alias("doc_id"), df[f"`{text}`"].cast("string").alias("text")).mapInArrow(
         frugal(_words), "word string, n long")
     return found.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
 

@@ -71,13 +71,16 @@ def test_trigrams_stay_within_rows(texts):
 
 
 def test_filter_corrects_false_positives():
+    """A filter filled by chance (all of one language's bits in nine tenths of the slots) against one that holds the text."""
     text = "some words of a language that only the second filter holds, in a longer text than that " * 3
-    slots = (np.random.default_rng(1).random(1 << language_bits.SLOT_BITS) < 0.9).astype(np.uint8)
+    levels = language_bits.LEVELS
+    both = np.uint64((1 << levels) - 1)
+    slots = np.where(np.random.default_rng(1).random(1 << language_bits.SLOT_BITS) < 0.9, both, np.uint64(0))[:, None]
     data, ends = utf8(pa.array([text]))
     for p in language_bits.probes(language_bits.trigrams(data, ends)[0]):
-        slots[p] |= 2
-    fill = np.array([np.mean(slots & 1), np.mean(slots >> 1)])
-    raw = language_bits.Filter(["chance", "real"], slots, np.zeros(2), "real").decide(pa.array([text]))
+        slots[p] |= both << np.uint64(levels)
+    fill = np.array([np.mean((slots >> np.uint64(i)) & np.uint64(1)) for i in range(2 * levels)])
+    raw = language_bits.Filter(["chance", "real"], slots, np.zeros(2 * levels), "real").decide(pa.array([text]))
     names, scores = language_bits.Filter(["chance", "real"], slots, fill, "real").decide(pa.array([text]))
     assert names == ["real"] and scores[0] > 0.8 > raw[1][0]
 
