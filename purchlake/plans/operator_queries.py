@@ -95,7 +95,7 @@ def hwm_query(spark, sf):
 
 UPSERT_FEED_SQL = f"""f AS (SELECT {O.doc('l_orderkey')} AS purchasingdocument,
   {O.pad('l_linenumber', 5)} AS purchasingdocumentitem, CAST(l_extendedprice AS DECIMAL(18,2)) AS netpriceamount,
-  l_shipdate AS ingestiontime, {O.LI_SEQ} AS changesequence FROM lineitem),
+  CASE WHEN l_partkey % 211 <> 5 THEN l_shipdate END AS ingestiontime, {O.LI_SEQ} AS changesequence FROM lineitem),
 tgt AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY purchasingdocument,
   purchasingdocumentitem ORDER BY ingestiontime DESC, changesequence DESC) AS rn
   FROM f WHERE ingestiontime < {CUT_SQL}) WHERE rn = 1),
