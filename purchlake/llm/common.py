@@ -27,6 +27,9 @@ ship(__name__)
 
 BATCH_BYTES, BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
+#: Lets a query drop its shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Odd multipliers, so that they have inverses modulo 2^64.
 BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 
@@ -51,11 +54,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage: later stages, and a rerun of tasks whose executor was
     lost, read committed files.  Unlike ``checkpoint()`` the rows are computed
-    once and kept compressed."""
+    once and kept compressed.  The write's own shuffle files go when it has ended: nothing
+    reads them any more, and else they would stay while later steps fill the disks."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex[:12]}"
     small_batches(spark)
-    df.write.mode("errorifexists").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
