@@ -59,7 +59,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex[:12]}"
     small_batches(spark)
-    before = spark.conf.get(CLEANUP)
+    before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
         df.write.mode("errorifexists").parquet(path)
