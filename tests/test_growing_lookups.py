@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from purchlake.operators.enrich import lookup
 from purchlake.plans import silver
 from purchlake.plans.catalog import Ctx
+from purchlake.plans.operator_queries import OPERATORS
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,6 +22,12 @@ def test_item_silver_broadcasts_no_product_data(spark, initial):
     assert not [x for x in joins(df, "BroadcastHashJoin") if "product" in x]
 
 
+@pytest.mark.parametrize("name", ["uom_to_base", "uom_to_kg", "uom_to_ea"])
+def test_unit_queries_broadcast_nothing(spark, name):
+    df = OPERATORS[name][0](spark, SF)
+    assert joins(df, "SortMergeJoin") and not joins(df, "BroadcastHashJoin")
+
+
 def test_item_master_data_equals_plain_joins(spark):
     """Products missing, doubled, only in the plant table; units and plants doubled, missing or NULL."""
     items = spark.createDataFrame(
