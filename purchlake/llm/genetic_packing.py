@@ -80,9 +80,10 @@ def by_rank(path: str):
 
 
 class Ids:
-    """Ids of texts as little-endian 32-bit numbers, by their parts.
+    """Ids of texts as little-endian 32-bit numbers.
 
-    New parts are strung together and encoded in one call; as no id crosses from a
+    A text in Latin-1 without the tokenizer's own signs is encoded whole by the ranks.  Others go by their parts:
+    new parts are strung together and encoded in one call; as no id crosses from a
     non-blank to a blank after it, the ids fall apart again where the parts meet.
     Parts beyond Latin-1, where versions of Unicode may differ, and parts with one of the
     tokenizer's own signs go to the tokenizer itself.  When the younger generation of
@@ -145,12 +146,18 @@ class Ids:
             for p, ids in zip(joined, self.together(joined)):
                 self._keep(p, ids)
 
-    def of(self, texts: list[str]) -> list[bytes]:
+    def by_parts(self, texts: list[str]) -> list[bytes]:
         split = [PARTS.findall(t) for t in texts]
         self.learn(set().union(*split))
         known = self.known
         return [b"".join([known[p] if len(p) <= LONGEST else self.alone(p) for p in parts]) for parts in split]
 
+    def of(self, texts: list[str]) -> list[bytes]:
+        whole = [self.ranked is not None and _latin(t) and not self.sign.search(t) for t in texts]
+        rest = iter(self.by_parts([t for t, w in zip(texts, whole) if not w]))
+        return [self.ranked.encode_to_numpy(t, disallowed_special=()).tobytes() if w else next(rest)
+                for t, w in zip(texts, whole)]
+
 
 def _latin(text: str) -> bool:
     if not text.isascii():

@@ -133,6 +133,19 @@ def test_ids_of_parts_are_ids_of_the_text(monkeypatch):
     assert list(genetic_packing.coded_texts(ids, iter([]))) == []
 
 
+def test_latin_texts_are_encoded_whole():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab's \t\n\r\x1c\x85\u00a0\u00e9\u00b2\u00bd\u00aa_1.<|>A") for _ in range(rng.randrange(60))) for _ in range(2000)]
+    texts += ["a" * 20000, " " * 20000, " " * 20000 + "x", "\n" * 5000 + "x ", "\x1c" * 5000, "1" * 5000, "", " "]
+    ids = genetic_packing.Ids(genetic_packing.tokenizer_path())
+    got = ids.of(texts)
+    assert not ids.known  # no text was cut into parts
+    mixed = ids.of(["a b", "\u65e5 a", "<|endoftext|> a", "c"])
+    for t, coded in zip([*texts, "a b", "\u65e5 a", "<|endoftext|> a", "c"], [*got, *mixed]):
+        assert coded == ids.alone(t)
+    assert ids.known
+
+
 def test_every_token_is_made_by_its_listed_merge():
     """What by_rank rests on: the listed merges, run over a token's own bytes, give that token."""
     import json
