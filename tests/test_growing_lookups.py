@@ -67,3 +67,10 @@ def test_growing_dimension_is_joined_by_sort(spark):
     plain, grown = (lookup(left, dim, [("k", "id")], {"v": "v"}, grows=g) for g in (False, True))
     assert joins(plain, "BroadcastHashJoin") and not joins(grown, "BroadcastHashJoin")
     assert grown.exceptAll(plain).isEmpty() and grown.count() == 100
+
+
+@pytest.mark.parametrize("name, key", [("silver_mm_zmmpurchasingdoc", "supplier"), ("silver_mm_zipoapprov", "userid")])
+def test_suppliers_and_users_are_not_broadcast(spark, name, key):
+    df = Ctx(spark, SF).silver(name)
+    assert len(joins(df, "SortMergeJoin")) == 1
+    assert not [x for x in joins(df, "BroadcastHashJoin") if f"_{key}#" in x]
