@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from purchlake.operators.enrich import lookup
 from purchlake.plans import silver
-from purchlake.plans.catalog import Ctx
+from purchlake.plans.catalog import PIPELINES, Ctx
 from purchlake.plans.operator_queries import OPERATORS
 
 SF = "/root/testdata/sf0.001"
@@ -74,3 +74,10 @@ def test_suppliers_and_users_are_not_broadcast(spark, name, key):
     df = Ctx(spark, SF).silver(name)
     assert len(joins(df, "SortMergeJoin")) == 1
     assert not [x for x in joins(df, "BroadcastHashJoin") if f"_{key}#" in x]
+
+
+@pytest.mark.parametrize("name", ["mart_last_price"])
+def test_marts_broadcast_no_silver_table(spark, name):
+    """Packed and cut to a few columns, a silver table of millions of rows is below the threshold to the planner."""
+    df = PIPELINES[name][0](spark, SF)
+    assert joins(df, "SortMergeJoin") and not joins(df, "Broadcast")
