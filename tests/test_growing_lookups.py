@@ -77,7 +77,7 @@ def test_suppliers_and_users_are_not_broadcast(spark, name, key):
 
 
 @pytest.mark.parametrize("name", ["mart_last_price", "mart_po_history", "mart_po_history_incremental",
-                                  "mart_info_record"])
+                                  "mart_info_record", "mart_info_record_incremental"])
 def test_marts_broadcast_no_silver_table(spark, name):
     """Packed and cut to a few columns, a silver table of millions of rows is below the threshold to the planner."""
     df = PIPELINES[name][0](spark, SF)
