@@ -82,3 +82,9 @@ def test_marts_broadcast_no_silver_table(spark, name):
     """Packed and cut to a few columns, a silver table of millions of rows is below the threshold to the planner."""
     df = PIPELINES[name][0](spark, SF)
     assert joins(df, "SortMergeJoin") and not joins(df, "Broadcast")
+
+
+@pytest.mark.parametrize("name", ["mart_po_item", "mart_po_item_incremental"])
+def test_item_mart_broadcasts_only_the_units(spark, name):
+    df = PIPELINES[name][0](spark, SF)
+    assert len(joins(df, "BroadcastHashJoin")) == 2 and all("unit" in x for x in joins(df, "BroadcastHashJoin"))
