@@ -1,9 +1,12 @@
 """Lookups whose rows multiply behind a small file are not taken for small: no broadcast through the driver."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from purchlake.operators.enrich import lookup
+from purchlake.operators.incremental import since
 from purchlake.plans import silver
 from purchlake.plans.catalog import PIPELINES, Ctx
 from purchlake.plans.operator_queries import OPERATORS
@@ -88,3 +91,24 @@ def test_marts_broadcast_no_silver_table(spark, name):
 def test_item_mart_broadcasts_only_the_units(spark, name):
     df = PIPELINES[name][0](spark, SF)
     assert len(joins(df, "BroadcastHashJoin")) == 2 and all("unit" in x for x in joins(df, "BroadcastHashJoin"))
+
+
+@pytest.mark.parametrize("name", ["mart_info_record", "mart_po_history", "mart_po_item"])
+def test_second_run_does_not_plan_its_target_again(spark, name):
+    """The mark is found before: what the driver plans for a second run is no larger than for a first."""
+    first, second = (PIPELINES[n][0](spark, SF)._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+                     for n in (name, f"{name}_incremental"))
+    assert 0 < second <= first
+
+
+@pytest.mark.parametrize("last", [0, 1])
+def test_zoned_mark_in_an_hour_that_comes_twice(spark, monkeypatch, last):
+    """25 October 2020, 02:30 in Berlin, first and second time."""
+    feed = spark.sql("SELECT id, timestamp_seconds(1603585800 + 3600 * id) AS ingestiontime FROM range(2)")
+    target = feed.where(F.col("id") <= last)
+    with monkeypatch.context() as m:
+        m.setenv("TZ", "Europe/Berlin")
+        time.tzset()
+        got = [{r.id for r in since(feed, target, lookback="0 HOURS", mode=mode).collect()} for mode in ("subquery", "literal")]
+    time.tzset()
+    assert got[0] == got[1] == set(range(last, 2))
