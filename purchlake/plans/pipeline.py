@@ -28,6 +28,7 @@ from ..operators.upsert import read_table, write_snapshot
 from ..sources import FEEDS, Lookups, Tables, store
 from ..streaming.silver_stream import merge_batch, staged
 from . import gold, silver
+from .materialize import stored
 
 # Silver tables in load order (all independent of each other).
 SILVER_TABLES = [
@@ -94,7 +95,7 @@ def load_all(spark: SparkSession, sf_dir: str, table_root: str, **sizes: int) ->
     out["mart_mm_poitem"] = _upsert_mart(spark, f"{root}/mart_mm_poitem", lambda tgt: gold.mart_po_item(
         items, s("silver_mm_zipritem"), s("silver_mm_zimmprgdocsl"), s("silver_mm_zipoapprov"),
         s("silver_mm_ziprapprov"), headers, s("silver_mm_zimmpurdochist"), s("silver_mm_zipricingelement"),
-        units, target=tgt), **sizes)
+        units, target=tgt, store=stored), **sizes)
     out["mart_mm_inforecord"] = _upsert_mart(spark, f"{root}/mart_mm_inforecord", lambda tgt: gold.mart_info_record(
         items, s("silver_mm_ziinforecorgdata"), headers, target=tgt), **sizes)
     out["mart_mm_pohistory"] = _upsert_mart(spark, f"{root}/mart_mm_pohistory", lambda tgt: gold.mart_po_history(
