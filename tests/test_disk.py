@@ -65,3 +65,10 @@ def test_item_mart_is_the_same_without_steps(spark):
     whole, steps = gold.mart_po_item(*frames).drop(gold.MART_AUDIT), gold.mart_po_item(*frames, store=stored).drop(gold.MART_AUDIT)
     assert whole.schema == steps.schema and whole.count() == steps.count() > 0
     assert whole.exceptAll(steps).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["mart_po_history", "mart_po_history_incremental"])
+def test_history_rows_move_once(spark, sort_merge, name):
+    """For the item key; the items have their header by then."""
+    rows = [how for what, how in moves(PIPELINES[name][0](spark, SF)) if "purchasinghistorydocument#" in what]
+    assert len(rows) == 1 and "purchasingdocumentitem#" in rows[0]
